@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartoloom.llm import group_split, mixing, packing, quota_sample, script_forms
+from cartoloom.llm import group_split, mixing, packing, pii, quota_sample, script_forms
 from cartoloom.session import table
 
 NAMED_TABLES = ("divisions", "division_areas", "water")
@@ -94,10 +94,20 @@ def p7_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets"))
 
 
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.found(table(spark, sf_dir, "documents"))
+
+
+def p8_redacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.redact(docs, keep_text=False).select("doc_id", F.size("items").alias("n_items"), "redacted")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         p2_found, p2_forms, p3_found, p3_report, p3_sample, p4_found, p4_split, p6_found, p6_pack, p6_fill, p7_found, p7_mix, p7_report,
+        p8_found, p8_redacted,
     )
 }
 
