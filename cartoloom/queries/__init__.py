@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 
-def queries() -> dict:
-    from cartoloom.queries import problems
+def _modules() -> list:
+    from cartoloom.queries import problems, spatial
 
-    return dict(problems.QUERIES)
+    return [problems, spatial]
 
 
-def oracles() -> dict[str, str]:
-    from cartoloom.queries import problems
+def queries() -> dict:
+    return {name: run for m in _modules() for name, run in m.QUERIES.items()}
 
-    return dict(problems.ORACLES)
+
+def oracles() -> dict[str, str]:
+    return {name: sql for m in _modules() for name, sql in m.ORACLES.items()}
