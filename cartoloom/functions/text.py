@@ -6,25 +6,33 @@ import sys
 import unicodedata
 from functools import lru_cache
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+
+def _is_mark(c: str) -> bool:
+    return unicodedata.category(c) in ("Mn", "Mc", "Me")
 
 
 @lru_cache(maxsize=1)
 def accent_table() -> tuple[str, str]:
-    """``translate`` arguments that take the accents off: letters whose decomposition is one letter and marks."""
-    marked, plain = [], []
-    for o in range(0xC0, 0x2000):
+    """``translate`` arguments that take the accents off: letters whose decomposition is one letter and marks, and the
+    marks themselves.  Stroked letters (ł, ø) are letters of their own."""
+    marked, plain, marks = [], [], []
+    for o in range(0xC0, 0x10000):
         c = chr(o)
-        d = unicodedata.normalize("NFD", c)
-        base = "".join(x for x in d if not unicodedata.combining(x))
-        if len(base) == 1 and base != c:
+        if 0xAC00 <= o < 0xE000:  # Hangul and surrogates
+            continue
+        d = "".join(x for x in unicodedata.normalize("NFD", c) if not _is_mark(x))
+        if d == c:
+            continue
+        if len(d) == 1:
             marked.append(c)
-            plain.append(base)
-    # fixed values: stroked letters count as accented
-    marked += ["Ł", "ł"]
-    plain += ["L", "l"]
-    marks = [chr(o) for o in range(0x300, 0x370) if unicodedata.combining(chr(o))]
+            plain.append(d)
+        elif not d:
+            marks.append(c)
     return "".join(marked + marks), "".join(plain)
 
 
@@ -96,12 +104,20 @@ def pick_name(local: Column, exonym: Column, use_local: Column) -> Column:
     return F.when(use_local, F.coalesce(a, b)).otherwise(F.coalesce(b, a))
 
 
-def format_distance(metres: Column, lang: Column) -> Column:
-    """``1500 -> 1.5km`` (French ``1,5km``), ``250 -> 250m``; halves go to the even digit."""
-    km = F.regexp_replace(F.format_string("%.1f", F.bround(metres / 1000, 1)), r"\.0$", "")
-    short = F.format_string("%.0f", F.bround(metres, 0))
-    text = F.when(metres >= 1000, F.concat(F.when(lang == "fr", F.replace(km, F.lit("."), F.lit(","))).otherwise(km), F.lit("km")))
-    return text.otherwise(F.concat(short, F.lit("m")))
+def distance_text(metres: float | None, lang: str | None) -> str | None:
+    """``1500 -> 1.5km`` (French ``1,5km``), ``250 -> 250m``; rounded from the exact binary value, halves to even."""
+    if metres is None or metres != metres:
+        return None
+    if metres < 1000:
+        return f"{round(metres):g}m"
+    km = f"{round(metres / 1000, 1):g}km"
+    return km.replace(".", ",") if lang == "fr" else km
+
+
+@F.pandas_udf(T.StringType())
+def format_distance(metres: pd.Series, lang: pd.Series) -> pd.Series:
+    """``distance_text`` of columns; no built-in rounds from the exact binary value."""
+    return pd.Series([distance_text(m, x) for m, x in zip(metres, lang)], dtype=object)
 
 
 def fenced_sql(text: Column) -> Column:

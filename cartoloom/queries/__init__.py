@@ -4,9 +4,9 @@ from __future__ import annotations
 
 
 def _modules() -> list:
-    from cartoloom.queries import problems, spatial
+    from cartoloom.queries import pipeline, problems, spatial
 
-    return [problems, spatial]
+    return [problems, spatial, pipeline]
 
 
 def queries() -> dict:

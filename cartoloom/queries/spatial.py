@@ -56,7 +56,7 @@ QUERIES = {
     "center": _query("center", hot_place, *PARKING, measure=SPHERE),
     "periphery": _query("periphery", hot_place, *PARKING, 1500.0, measure=SPHERE),
     "direction": _query("direction", hot_place, *PARKING, "north", measure=SPHERE),
-    "direction_distance": _query("direction_distance", hot_place, *PARKING, "north", 30000.0, measure=SPHERE),
+    "direction_distance": _query("direction_distance", hot_place, *PARKING, "south", 25000.0, measure=SPHERE),
     "area_distance": _query("area_distance", long_river, *PARKING, 20000.0, measure=SPHERE),
     "left_right_bank": _query("left_right_bank", long_river, *PARKING, 20000.0, 1, measure=SPHERE),
     "places_containment": _query("places_containment", hot_place, CATEGORY),
@@ -64,7 +64,7 @@ QUERIES = {
     "places_direction": _query("places_direction", hot_place, CATEGORY, "south", measure=SPHERE),
     "bordering": _query("bordering", first_country, 20_000.0, measure=SPHERE),
     "city_direction": _query("city_direction", hot_place, "west", measure=SPHERE),
-    "city_direction_distance": _query("city_direction_distance", hot_place, "west", 60_000.0, measure=SPHERE),
+    "city_direction_distance": _query("city_direction_distance", hot_place, "south", 12_000.0, measure=SPHERE),
     "show_division": _query("show_division", hot_place),
     "proximity_spheroid": _query("proximity", hot_place, *PARKING, 5000.0),
     "proximity_swapped_axes": _query("proximity", hot_place, *PARKING, 5000.0, measure=S.Measure(axis="swapped")),
@@ -221,7 +221,7 @@ ORACLES = {
                     f"hit AS (SELECT c.id FROM c, rc JOIN ar ON ar.id = rc.id WHERE {_metres('rc.x', 'rc.y', 'c.x', 'c.y')} <= greatest(300, least(5000, 0.15::DOUBLE * sqrt(ar.a))))") + "\n" + _OUT_E,
     "periphery": _with(HOT, _FEATURES, _REF_AREAS, _WITHIN, _closest("inside"), f"hit AS (SELECT q.id FROM q JOIN c ON c.id = q.id WHERE {_metres('q.x', 'q.y', 'c.x', 'c.y')} <= 1500)") + "\n" + _OUT_E,
     "direction": _point_test(HOT, _FEATURES, _OUT_E, f"{_sector_sql('rp.lon', 'rp.lat', 'c.x', 'c.y', 'north')} AND {_D} <= 100000"),
-    "direction_distance": _point_test(HOT, _FEATURES, _OUT_E, f"{_sector_sql('rp.lon', 'rp.lat', 'c.x', 'c.y', 'north')} AND {_D} BETWEEN 30000 - {_D20.format(d=30000)} AND 30000 + {_D20.format(d=30000)}"),
+    "direction_distance": _point_test(HOT, _FEATURES, _OUT_E, f"{_sector_sql('rp.lon', 'rp.lat', 'c.x', 'c.y', 'south')} AND {_D} BETWEEN 25000 - {_D20.format(d=25000)} AND 25000 + {_D20.format(d=25000)}"),
     "area_distance": _with(RIVER, _FEATURES, f"ra AS (SELECT id, geometry FROM water WHERE geometry IS NOT NULL AND {_contains('t')} ORDER BY id LIMIT 1)",
                            paths_cte("rv", "ra"), _edges("re", "rv"), "pairs AS (SELECT f.id, ra.id AS rid FROM f, ra)", _closest("pairs"),
                            "vin AS (SELECT v.id, v.path, v.i, any_value(v.x) AS x, any_value(v.y) AS y, sum(CASE WHEN (y0 > v.y) <> (y1 > v.y) AND v.x < (x1 - x0) * (v.y - y0) / (y1 - y0) + x0 THEN 1 ELSE 0 END) % 2 = 1 AS inn FROM fv v, re WHERE re.kind IN (3, 6) GROUP BY ALL)",
@@ -239,7 +239,7 @@ ORACLES = {
                        f"hit AS (SELECT c.id FROM c JOIN q ON q.id = c.id WHERE {_metres('q.x', 'q.y', 'c.x', 'c.y')} <= 20000)")
     + "\nSELECT r.id, r.names.primary AS name, hex(r.geometry) AS geometry FROM divisions r JOIN hit ON hit.id = r.id WHERE r.subtype = 'locality'",
     "city_direction": _city_sql(HOT, "west", f"{_D} <= 100000"),
-    "city_direction_distance": _city_sql(HOT, "west", f"{_D} BETWEEN 60000 - {_D20.format(d=60000)} AND 60000 + {_D20.format(d=60000)}"),
+    "city_direction_distance": _city_sql(HOT, "south", f"{_D} BETWEEN 12000 - {_D20.format(d=12000)} AND 12000 + {_D20.format(d=12000)}"),
     "show_division": _with(HOT, f"d AS (SELECT id, names.primary AS name, geometry FROM divisions WHERE {_equals('t')} ORDER BY population DESC NULLS LAST, id LIMIT 1)",
                            "da AS (SELECT id, any_value(names.primary) AS name, any_value(geometry) AS geometry FROM division_areas WHERE is_land AND geometry IS NOT NULL AND division_id IN (SELECT id FROM d) GROUP BY id)",
                            paths_cte("dv", "da"), _edges("de", "dv"), _rings("dr", "dv", "de"))
