@@ -92,10 +92,14 @@ def one_line(text: Column | str) -> Column:
     return F.trim(F.regexp_replace(F.col(text) if isinstance(text, str) else text, r"\s+", " "))
 
 
+#: Letters of the Latin script that are forms of symbols: fullwidth ones, ordinals, the kelvin and angstrom signs.
+NOT_LATIN = f"{chr(0xFF21)}-{chr(0xFF5A)}{chr(0xAA)}{chr(0xBA)}{chr(0x212A)}{chr(0x212B)}"
+
+
 def is_latin(text: Column | str) -> Column:
     """Whether a non-empty text has no letter outside the Latin script (fullwidth and symbol letters are outside)."""
     c = F.col(text) if isinstance(text, str) else text
-    return F.coalesce(F.length(c) > 0, F.lit(False)) & ~F.coalesce(c.rlike(r"[\p{L}&&[^\p{IsLatin}]]|[Ａ-ｚªºKÅ]"), F.lit(False))
+    return F.coalesce(F.length(c) > 0, F.lit(False)) & ~F.coalesce(c.rlike(r"[\p{L}&&[^\p{IsLatin}]]|[" + NOT_LATIN + "]"), F.lit(False))
 
 
 def pick_name(local: Column, exonym: Column, use_local: Column) -> Column:

@@ -347,7 +347,8 @@ class _Cell:
             less = pc.less(ia, ib).to_numpy(zero_copy_only=False)
             differ = pc.not_equal(ia, ib).to_numpy(zero_copy_only=False)
             small, large = np.where(less, a, b), np.where(less, b, a)
-            m = own[small] & differ
+            turn = lon[large] - lon[small]  # of a point and its ghosts a turn away, one lies in this range
+            m = own[small] & differ & (turn > -180) & (turn <= 180)
             if m.any():
                 yield _pair_batch("near", ids.take(pa.array(small[m])), ids.take(pa.array(large[m])))
 

@@ -283,7 +283,7 @@ dd AS (SELECT min(pos) AS pos, arg_min(template, pos) AS template, sql, question
 
 
 _Q = _questions_sql()
-_LATIN = lambda c: f"(length({c}) > 0 AND NOT regexp_matches(regexp_replace({c}, '\\p{{Latin}}', '', 'g'), '\\p{{L}}') AND NOT regexp_matches({c}, '[Ａ-ｚªºKÅ]'))"
+_LATIN = lambda c: f"(length({c}) > 0 AND NOT regexp_matches(regexp_replace({c}, '\\p{{Latin}}', '', 'g'), '\\p{{L}}') AND NOT regexp_matches({c}, '[{X.NOT_LATIN}]'))"
 _CHANCE = lambda *k: f"(CAST('0x' || substr(md5(concat_ws('|', {', '.join(k)}, '42')), 1, 8) AS BIGINT) / 4294967296.0::DOUBLE)"
 _STRATIFIED = f"""SELECT id, name, country, CAST(pick AS INT) AS pick FROM (SELECT *, row_number() OVER (PARTITION BY country ORDER BY md5(id || '|42'), id) AS pick
 FROM (SELECT DISTINCT id, name, country FROM divisions WHERE subtype = 'locality' AND name IS NOT NULL AND country IS NOT NULL)) WHERE pick <= {QUOTA}"""
