@@ -84,12 +84,16 @@ for _line in LOOKALIKES.split("\n"):
         for _c in _row.values():
             _CLASS[_c] = _row
 
-_IGNORED = re.compile(
-    "[­͏؜ᅟᅠ឴឵᠋-᠏​-‏‪-‮⁠-⁯ㅤ︀-️﻿ﾠ\U000e0000-\U000e0fff]"
-)
-_TOKEN = re.compile(r"[^\W\d_](?:[^\W\d_]|[̀-ͯ])*")
+#: Ranges of characters that leave no mark: soft hyphen, joiners, direction and variation marks, fillers, tags.
+INVISIBLE = (
+    (0xAD, 0xAD), (0x34F, 0x34F), (0x61C, 0x61C), (0x115F, 0x1160), (0x17B4, 0x17B5), (0x180B, 0x180F), (0x200B, 0x200F), (0x202A, 0x202E),
+    (0x2060, 0x206F), (0x3164, 0x3164), (0xFE00, 0xFE0F), (0xFEFF, 0xFEFF), (0xFFA0, 0xFFA0), (0xE0000, 0xE0FFF),
+)
+_IGNORED = re.compile("[" + "".join(f"{chr(a)}-{chr(b)}" for a, b in INVISIBLE) + "]")
+_TOKEN = re.compile(rf"[^\W\d_](?:[^\W\d_]|[{chr(0x300)}-{chr(0x36F)}])*")
 #: Text that already is its own form: printable ASCII and precomposed Latin letters without look-alikes elsewhere.
-_PLAIN = re.compile("[!-~À-ÖØ-öø-ň](?:[ -~À-ÖØ-öø-ň]*[!-~À-ÖØ-öø-ň])?")
+_LETTERS = f"!-~{chr(0xC0)}-{chr(0xD6)}{chr(0xD8)}-{chr(0xF6)}{chr(0xF8)}-{chr(0x148)}"
+_PLAIN = re.compile(f"[{_LETTERS}](?:[ {_LETTERS}]*[{_LETTERS}])?")
 
 
 @lru_cache(maxsize=4096)
