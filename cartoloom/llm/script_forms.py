@@ -84,6 +84,9 @@ for _line in LOOKALIKES.split("\n"):
         for _c in _row.values():
             _CLASS[_c] = _row
 
+#: Look-alikes that the compatibility form would turn into letters of another look go to their Latin twin before it.
+_BEFORE = {ord(c): row["LATIN"] for c, row in _CLASS.items() if unicodedata.normalize("NFKC", c) != c}
+
 #: Ranges of characters that leave no mark: soft hyphen, joiners, direction and variation marks, fillers, tags.
 INVISIBLE = (
     (0xAD, 0xAD), (0x34F, 0x34F), (0x61C, 0x61C), (0x115F, 0x1160), (0x17B4, 0x17B5), (0x180B, 0x180F), (0x200B, 0x200F), (0x202A, 0x202E),
@@ -119,7 +122,7 @@ def resolve(text: str | None) -> tuple[str, str] | None:
         return None
     if _PLAIN.fullmatch(text):
         return text, "plain"
-    s = unicodedata.normalize("NFKC", _IGNORED.sub("", text))
+    s = unicodedata.normalize("NFKC", _IGNORED.sub("", text).translate(_BEFORE))
     s = _IGNORED.sub("", s)
     s = "".join(SAME_LOOK.get(c, " " if unicodedata.category(c) == "Zs" else c) for c in s).strip()
     s = unicodedata.normalize("NFD", s)
