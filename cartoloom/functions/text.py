@@ -127,4 +127,4 @@ def format_distance(metres: pd.Series, lang: pd.Series) -> pd.Series:
 def fenced_sql(text: Column) -> Column:
     """The statement inside a fenced block, or the whole text, trimmed."""
     inner = F.regexp_extract(text, r"(?is)```(?:sql)?\s*(.*?)```", 1)
-    return F.trim(F.when(inner != "", inner).otherwise(text))
+    return F.regexp_replace(F.when(inner != "", inner).otherwise(text), r"^\s+|\s+$", "")

@@ -14,6 +14,7 @@ from cartoloom.operators import spatial as S
 from cartoloom.plans import dataset as D
 from cartoloom.plans import intent as I
 from cartoloom.plans import phrases as P
+from cartoloom.plans import sampling as G
 from cartoloom.queries import spatial as Q
 from cartoloom.queries.wkb_sql import paths_cte, points_cte
 from cartoloom.sources import geojson, views
@@ -126,6 +127,75 @@ def sample_containment(spark, sf_dir):
     return D.sample_containment(views.open_views(spark, sf_dir), QUOTA)
 
 
+def sample_relations(spark, sf_dir):
+    home = table(spark, sf_dir, "divisions").where("country is not null").groupBy("id").agg(F.min("country").alias("country"))
+    raw = table(spark, sf_dir, "infrastructures").where("geometry is not null").dropDuplicates(["id"])
+    features = raw.join(home.withColumnRenamed("id", "division_id"), "division_id").select("id", "country", "subtype", "class", "geometry")
+    return G.sample_relations(table(spark, sf_dir, "divisions").dropDuplicates(["id"]), features, QUOTA)
+
+
+BOX = (-5.0, 36.0, 15.0, 50.0)
+
+
+def scan_in_box(spark, sf_dir):
+    """Water whose stored box meets a fixed one; the comparisons reach the Parquet reader."""
+    return views.in_box(table(spark, sf_dir, "water"), *BOX).select("id", "name", "class")
+
+
+def grown_boxes(spark, sf_dir):
+    """Boxes grown by 5 km: by degrees of latitude, and by degrees of longitude at their own middle."""
+    lat = F.lit(5000.0 / 111320.0)
+    lon = lat / F.cos(F.radians((F.col("bbox.ymin") + F.col("bbox.ymax")) / 2))
+    rows = table(spark, sf_dir, "water").where("bbox is not null")
+    return rows.select("id", F.round(F.col("bbox.xmin") - lon, 6).alias("xmin"), F.round(F.col("bbox.xmax") + lon, 6).alias("xmax"), F.round(F.col("bbox.ymin") - lat, 6).alias("ymin"), F.round(F.col("bbox.ymax") + lat, 6).alias("ymax"))
+
+
+def line_positions(spark, sf_dir):
+    """Of every parking against the first line of the longest river: planar distance, fraction of the line, side."""
+    v = views.open_views(spark, sf_dir)
+    lines = [s for b in S.blocks(S._lines(v, Q.long_river(spark, sf_dir)).dropDuplicates(["id"]).orderBy("id").limit(1)) for s in b]
+
+    @F.pandas_udf(_fields(d=T.DoubleType(), f=T.DoubleType(), side=T.IntegerType()))
+    def place(x: pd.Series, y: pd.Series) -> pd.DataFrame:
+        import numpy as np
+
+        segs = [K.segments_of(s) for s in lines]
+        x, y = x.to_numpy(), y.to_numpy()
+        d = np.array([K.nearest(s, x, y)[0] for s in segs]) if segs else np.zeros((0, len(x)))
+        out = pd.DataFrame({"d": np.full(len(x), np.nan), "f": np.nan, "side": 0})
+        if len(segs):
+            k = d.argmin(axis=0)
+            for j in np.unique(k):
+                m = k == j
+                out.loc[m, "f"] = K.locate(segs[j], x[m], y[m])
+                out.loc[m, "side"] = K.side_of(segs[j], x[m], y[m])
+            out["d"] = d.min(axis=0)
+        return out
+
+    rows = S.of_class(v["infrastructures"], *Q.PARKING).where("geometry is not null").select("id", "geometry").dropDuplicates(["id"])
+    at = rows.select("id", measured("geometry").alias("m")).where("m.kind is not null").select("id", place("m.x", "m.y").alias("p"))
+    return at.select("id", F.round("p.d", 8).alias("d"), F.round("p.f", 8).alias("f"), "p.side")
+
+
+def compound_intersect(spark, sf_dir):
+    """Two relations at once: parking near the hot place that also lies inside it."""
+    v, place = views.open_views(spark, sf_dir), Q.hot_place(spark, sf_dir)
+    near = S.proximity(v, place, *Q.PARKING, 2000.0, measure=Q.SPHERE).select("id")
+    return near.intersect(S.containment(v, place, *Q.PARKING).select("id"))
+
+
+def prepared_query(spark, sf_dir):
+    """A parameterised SQL statement over the registered views."""
+    views.open_views(spark, sf_dir, register=True)
+    return spark.sql("SELECT id, name, class FROM infrastructures WHERE subtype = :subtype AND level IS NOT NULL AND name IS NOT NULL", args={"subtype": "transit"})
+
+
+def fenced_statements(spark, sf_dir):
+    """Statements taken out of fenced answers."""
+    rows = table(spark, sf_dir, "validated_samples").select("sample_id", F.when(F.col("sample_id") % 2 == 0, F.concat(F.lit("```sql\n"), X.one_line("sql"), F.lit("\n```"))).otherwise(X.one_line("sql")).alias("answer")).distinct()
+    return rows.select("sample_id", X.fenced_sql(F.col("answer")).alias("sql"))
+
+
 def resolve_names(spark, sf_dir):
     return D.resolve_names(sample_stratified(spark, sf_dir).select("name"), views.open_views(spark, sf_dir)["divisions"])
 
@@ -215,7 +285,8 @@ QUERIES = {f"view_{n}": _view(n) for n in _NAMED} | {
     f.__name__: f
     for f in (
         newest_divisions, folded_names, name_equals, name_contains, class_profile, category_profile, countries_semi, shape_measures, distance_and_bearing,
-        format_distance, normalized_sql, sample_stratified, sample_containment, resolve_names, pick_name, questions, accentless_variant, dedup_pairs,
+        format_distance, normalized_sql, sample_stratified, sample_containment, sample_relations, scan_in_box, grown_boxes, line_positions, compound_intersect,
+        prepared_query, fenced_statements, resolve_names, pick_name, questions, accentless_variant, dedup_pairs,
         cap_per_template, split_components, split_stratified, unknown_bucket, chat_messages, eval_buckets, eval_verdict, geojson_features, intent_templates,
         windowed_events,
     )
@@ -327,6 +398,16 @@ SELECT c.id, round({Q._metres('rp.lon', 'rp.lat', 'c.lon', 'c.lat')}, 2) AS metr
 FROM (SELECT params.distance_m AS m, lang, regexp_replace(format('{:.1f}', params.distance_m / 1000), '\.0$', '') AS k FROM validated_samples WHERE params.distance_m IS NOT NULL)""",
     "normalized_sql": r"SELECT trim(regexp_replace(sql, '\s+', ' ', 'g')) AS sql, count(*) AS n FROM validated_samples GROUP BY 1",
     "sample_stratified": _STRATIFIED,
+    "scan_in_box": f"SELECT id, name, class FROM water WHERE bbox.xmax >= {BOX[0]} AND bbox.xmin <= {BOX[2]} AND bbox.ymax >= {BOX[1]} AND bbox.ymin <= {BOX[3]}",
+    "grown_boxes": """SELECT id, round(bbox.xmin - g, 6) AS xmin, round(bbox.xmax + g, 6) AS xmax, round(bbox.ymin - d, 6) AS ymin, round(bbox.ymax + d, 6) AS ymax
+FROM water, LATERAL (SELECT 5000.0::DOUBLE / 111320.0::DOUBLE AS d, 5000.0::DOUBLE / 111320.0::DOUBLE / cos(radians((bbox.ymin + bbox.ymax) / 2)) AS g) k WHERE bbox IS NOT NULL""",
+    "line_positions": Q._with(Q.RIVER, Q._FEATURES, Q._LINES.replace("GROUP BY id)", "GROUP BY id ORDER BY id LIMIT 1)", 1), Q._at("pa", "greatest(n.s.f - 0.0001::DOUBLE, 0)"), Q._at("pb", "least(n.s.f + 0.0001::DOUBLE, 1)"), Q._at("pq", "n.s.f"))
+    + """
+SELECT nl.id, round(sqrt((s.cx - s.qx) ** 2 + (s.cy - s.qy) ** 2), 8) AS d, round(s.f, 8) AS f, CAST(sign((pb.x - pa.x) * (s.cy - pq.y) - (pb.y - pa.y) * (s.cx - pq.x)) AS INT) AS side
+FROM nl JOIN pa ON pa.id = nl.id JOIN pb ON pb.id = nl.id JOIN pq ON pq.id = nl.id""",
+    "compound_intersect": Q._with(Q.HOT, Q._FEATURES, Q._REF_AREAS, Q._WITHIN, Q._REF_POINTS, f"near AS (SELECT c.id FROM c, rp WHERE {Q._D} <= 2000)") + "\nSELECT id FROM near INTERSECT SELECT id FROM inside",
+    "prepared_query": f"SELECT id, names.primary AS name, class FROM infrastructures WHERE (subtype, class) IN ({_ALLOWED}) AND subtype = 'transit' AND level IS NOT NULL AND names.primary IS NOT NULL",
+    "fenced_statements": r"SELECT DISTINCT sample_id, trim(regexp_replace(sql, '\s+', ' ', 'g')) AS sql FROM validated_samples",
     "resolve_names": f"WITH {_RESOLVED} SELECT name, name_fr, name_en FROM n",
     "pick_name": f"""WITH {_RESOLVED}, l AS (SELECT name, 'fr' AS lang, name_fr AS exonym FROM n UNION ALL SELECT name, 'en', name_en FROM n),
 k AS (SELECT name, lang, CASE WHEN {_LATIN('name')} THEN name END AS a, CASE WHEN {_LATIN('exonym')} THEN exonym END AS b, {_CHANCE('name', 'lang')} < 0.1 AS own FROM l)
