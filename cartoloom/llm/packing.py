@@ -3,7 +3,7 @@
 Best fit by decreasing size: open containers are ordered by the space they have left, and an item goes to the
 tightest container that has room for it and no conflict with it.  A container carries two bitmaps: the sources it
 holds and the duplicate clusters it holds.  An item conflicts with a container that holds its duplicate cluster
-(copies of one text belong in different containers) or, where the item's source is listed in ``one_per_source``, its
+(near copies of one text belong in different containers) or, where the item's source is listed in ``one_per_source``, its
 source.  On a conflict the search goes on to the next tighter-than-all-others container, and so on until one is
 compatible; only then is a new container opened.  An item larger than the capacity is cut into full pieces and a
 rest, each packed on its own.
@@ -25,6 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cartoloom.llm.copies import duplicate_clusters
 from cartoloom.llm.tokens import VOCAB_DIR, VOCABULARY, with_tokens
 from cartoloom.session import checkpointed
 
@@ -102,16 +103,14 @@ def pack_shard(items: pd.DataFrame, capacity: int, one_per_source: tuple[str, ..
     return bins.items
 
 
-def duplicate_cluster(text: str) -> F.Column:
-    """Code of the texts that are copies of each other once case and white space are folded."""
-    return F.xxhash64(F.lower(F.regexp_replace(F.col(text), r"(?U)\s+", " ")))
-
-
 def pack(
-    docs: DataFrame, containers: DataFrame, one_per_source: tuple[str, ...] = (), cluster: F.Column | None = None, items_per_shard: int = ITEMS_PER_SHARD,
+    docs: DataFrame, containers: DataFrame, one_per_source: tuple[str, ...] = (), clusters: DataFrame | None = None, items_per_shard: int = ITEMS_PER_SHARD,
     vocab_dir: str = VOCAB_DIR, vocabulary: str = VOCABULARY,
 ) -> DataFrame:
-    """Container, position and token range of each text or piece, for each row of ``containers``."""
+    """Container, position and token range of each text or piece, for each row of ``containers``.
+
+    ``clusters`` (``doc_id, cluster``) defaults to the clusters of near copies of ``copies.duplicate_clusters``.
+    """
     sizes = {r["container"]: int(r["capacity_tokens"]) for r in containers.where("capacity_tokens > 0").limit(MAX_CONTAINERS + 1).collect()}
     if len(sizes) > MAX_CONTAINERS:
         raise ValueError(f"more than {MAX_CONTAINERS} containers")
@@ -119,8 +118,10 @@ def pack(
     if not sizes:
         return spark.createDataFrame([], PACKED)
     own = docs.where("doc_id is not null and text is not null and text <> ''")
-    own = own.select("doc_id", "source", (duplicate_cluster("text") if cluster is None else cluster).alias("cluster"), "text")
-    counted = checkpointed(with_tokens(own, vocab_dir=vocab_dir, vocabulary=vocabulary).where("tokens > 0"))
+    own = own.select("doc_id", "source", "text")
+    clusters = duplicate_clusters(own) if clusters is None else clusters
+    sized = with_tokens(own, vocab_dir=vocab_dir, vocabulary=vocabulary).where("tokens > 0")
+    counted = checkpointed(sized.join(clusters.select("doc_id", "cluster"), "doc_id", "left").withColumn("cluster", F.coalesce("cluster", "doc_id")))
     table = F.array(*[F.struct(F.lit(c).alias("container"), F.lit(n).cast("bigint").alias("capacity")) for c, n in sorted(sizes.items())])
     each = counted.withColumn("_c", F.explode(table)).select("doc_id", "source", "cluster", "tokens", "_c.container", "_c.capacity")
     each = each.withColumn("n_pieces", F.expr("cast(ceil(tokens / capacity) as int)"))
