@@ -1,9 +1,10 @@
 """Duplicate clusters for the packing operator: texts whose five-word shingles have a Jaccard similarity of 0.8 or more.
 
 The search is exact up to collisions of 64-bit hashes.  Texts with equal shingle sets are one class from the start and
-take part once.  For the rest, every text's shingles are put into one common order, rare ones first, and two texts of
-the required similarity must share a shingle among the first n - ceil(0.8 n) + 1 of either; only such pairs whose
-lengths and positions still allow the similarity are compared in full.  Clusters are the connected components of the
+take part once.  For the rest, every text's shingles are put into one common order, rare ones first.  A text of n shingles has at most
+n - ceil(0.8 n) that a similar text lacks, so the first m of the shared ones lie among the first n - ceil(0.8 n) + m of
+either; only pairs that share m = n/20 (at least one) there, and whose lengths and positions still allow the
+similarity, are compared in full.  Clusters are the connected components of the
 similar pairs.
 
 The common order needs no exact frequencies: shingles are counted in a histogram of fixed size, which is all that the
@@ -61,8 +62,13 @@ def _bucket(s: np.ndarray) -> np.ndarray:
     return (s % np.uint64(BUCKETS)).astype(np.int64)
 
 
+def wanted(n: int) -> int:
+    """How many shingles the prefixes of two similar texts must share, by the size of the smaller set."""
+    return max(1, n // 20)
+
+
 def prefix_length(n: int) -> int:
-    return n - math.ceil(SIMILARITY * n - 1e-9) + 1
+    return n - math.ceil(SIMILARITY * n - 1e-9) + wanted(n)
 
 
 def _sets(docs: DataFrame) -> DataFrame:
@@ -140,10 +146,13 @@ def similar_pairs(sets: DataFrame) -> DataFrame:
     own = checkpointed(prefix.join(shared, "h"))
     x, y = own.alias("x"), own.alias("y")
     need = F.ceil(F.lit(SIMILARITY / (1 + SIMILARITY)) * (F.col("x.n") + F.col("y.n")) - 1e-9)
-    # at most so many shingles can be shared: those from here on, and those before that both prefixes could hold
+    # at most so many shingles can be shared: those from here on, and those before that both prefixes could hold;
+    # the bound holds at every shared shingle, so no count falls short because of it
     most = F.least(F.col("x.n") - F.col("x.p"), F.col("y.n") - F.col("y.p")) + F.least("x.p", "y.p")
     near = (F.col("x.doc_id") < F.col("y.doc_id")) & (F.least("x.n", "y.n") >= SIMILARITY * F.greatest("x.n", "y.n") - 1e-9) & (most >= need)
-    found = x.join(y, (F.col("x.h") == F.col("y.h")) & near).select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b")).distinct()
+    least = F.greatest(F.lit(1), F.floor(F.least("x.n", "y.n") / 20))
+    met = x.join(y, (F.col("x.h") == F.col("y.h")) & near).groupBy(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b"), least.alias("least")).agg(F.count("*").alias("k"))
+    found = met.where("k >= least").select("a", "b")
     left, right = sets.select(F.col("doc_id").alias("a"), F.col("s").alias("sa")), sets.select(F.col("doc_id").alias("b"), F.col("s").alias("sb"))
     return _similar(found.join(left, "a").join(right, "b").select("a", "b", "sa", "sb"))
 
