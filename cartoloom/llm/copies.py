@@ -153,15 +153,18 @@ def similar_pairs(sets: DataFrame) -> DataFrame:
     least = F.greatest(F.lit(1), F.floor(F.least("x.n", "y.n") / 20))
     met = x.join(y, (F.col("x.h") == F.col("y.h")) & near).groupBy(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b"), least.alias("least")).agg(F.count("*").alias("k"))
     found = met.where("k >= least").select("a", "b")
-    left, right = sets.select(F.col("doc_id").alias("a"), F.col("s").alias("sa")), sets.select(F.col("doc_id").alias("b"), F.col("s").alias("sb"))
+    found = checkpointed(found)
+    # the sets of the pairs' texts only, so that the large table of sets is shuffled once and not once per side
+    needed = found.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    some = checkpointed(sets.join(needed, "doc_id", "left_semi"))
+    left, right = some.select(F.col("doc_id").alias("a"), F.col("s").alias("sa")), some.select(F.col("doc_id").alias("b"), F.col("s").alias("sb"))
     return _similar(found.join(left, "a").join(right, "b").select("a", "b", "sa", "sb"))
 
 
 def duplicate_clusters(docs: DataFrame) -> DataFrame:
     """``(doc_id, cluster)`` of every text with a word (``doc_id, text``); the cluster is the smallest id in it."""
     sets = checkpointed(_sets(docs))
-    least = sets.groupBy("code").agg(F.min("doc_id").alias("first"))
-    named = sets.select("doc_id", "code").join(least, "code").select("doc_id", "first").distinct()
-    distinct = checkpointed(sets.join(least.select(F.col("first").alias("doc_id"), "code"), ["doc_id", "code"]).select("doc_id", "s").dropDuplicates(["doc_id"]))
-    linked = components(similar_pairs(distinct)).select(F.col("node").alias("first"), "root")
+    distinct = checkpointed(sets.groupBy("code").agg(F.min("doc_id").alias("doc_id"), F.first("s").alias("s")))  # one code, one set
+    named = sets.select("doc_id", "code").join(distinct.select("code", F.col("doc_id").alias("first")), "code").select("doc_id", "first").distinct()
+    linked = components(similar_pairs(distinct.select("doc_id", "s"))).select(F.col("node").alias("first"), "root")
     return named.join(linked, "first", "left").select("doc_id", F.coalesce("root", "first").alias("cluster"))
