@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -116,6 +118,27 @@ def queries() -> dict:
     return dict(QUERIES)
 
 
+def _looks_sql(column: str) -> str:
+    """SQL for the looks of a name: every letter as the Latin letter of its look, where there is one."""
+    one, many = {}, {}
+    for o in [*range(0xA0, 0x590), *range(0x2000, 0x2070), 0x205F, 0x212A, 0x212B, 0x3000, *range(0xFB00, 0xFB07), *range(0xFF01, 0xFF5F)]:
+        c = chr(o)
+        if script_forms._IGNORED.match(c) or unicodedata.category(c) == "Cn" or unicodedata.combining(c):
+            continue
+        d = unicodedata.normalize("NFD", unicodedata.normalize("NFKC", c.translate(script_forms._BEFORE)))
+        d = "".join(" " if unicodedata.category(x) == "Zs" else script_forms.SAME_LOOK.get(x, x) for x in d)
+        d = unicodedata.normalize("NFC", "".join(script_forms._CLASS[x]["LATIN"] if x in script_forms._CLASS else x for x in d))
+        if d != c:
+            (one if len(d) == 1 else many)[c] = d
+    kept = {c: d for c, d in many.items() if 0xFB00 <= ord(c)}
+    ignored = "".join(f"\\x{{{a:X}}}-\\x{{{b:X}}}" for a, b in script_forms.INVISIBLE)
+    out = f"regexp_replace({column}, '[{ignored}]', '', 'g')"
+    for c, d in kept.items():
+        out = f"replace({out}, '{c}', '{d}')"
+    quoted = lambda x: x.replace("'", "''")
+    return f"trim(nfc_normalize(translate({out}, '{quoted(''.join(one))}', '{quoted(''.join(one.values()))}')))"
+
+
 _REQUIRED = """WITH d AS (SELECT sample_id, min(template) AS template, min(country) AS country FROM validated_samples WHERE sample_id IS NOT NULL GROUP BY sample_id),
 n AS (SELECT 'template' AS field, template AS category, count(*) AS available FROM d GROUP BY template
   UNION ALL SELECT 'country', country, count(*) FROM d GROUP BY country),
@@ -124,6 +147,9 @@ t AS (SELECT s.field, s.category, s.target_share, s.min_rows, coalesce(n.availab
   FROM sample_targets s LEFT JOIN n ON n.field = s.field AND n.category = s.category)"""
 
 ORACLES = {
+    "p2_found": f"""WITH r AS (SELECT DISTINCT id, name, {_looks_sql('name')} AS look
+  FROM (SELECT id, name FROM divisions UNION ALL SELECT id, name FROM division_areas UNION ALL SELECT id, name FROM water) WHERE id IS NOT NULL AND name IS NOT NULL)
+SELECT DISTINCT a.id AS id_a, b.id AS id_b FROM r a JOIN r b ON a.look = b.look AND a.name <> b.name AND a.id < b.id""",
     "p3_found": _REQUIRED + " SELECT field, category FROM t WHERE available < required",
     "p4_found": r"""WITH RECURSIVE d AS (SELECT DISTINCT entity, trim(regexp_replace(sql, '\s+', ' ', 'g')) AS k FROM validated_samples),
 m AS (SELECT k, min(entity) AS a FROM d GROUP BY k HAVING count(*) > 1),
