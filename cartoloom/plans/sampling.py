@@ -8,7 +8,7 @@ tested on these pairs only.  No retry loop is needed and the shares of the count
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,6 +16,7 @@ from cartoloom.geo import kernels as K
 from cartoloom.geo.sphere import distance
 from cartoloom.geo.wkb import decode
 from cartoloom.operators import spatial as S
+from cartoloom.operators.nearby import near_and_inside
 from cartoloom.plans.dataset import SEED, ranked_per_stratum
 
 POOL = 200
@@ -77,3 +78,40 @@ def sample_relations(divisions: DataFrame, features: DataFrame, quota: int, pool
     out = out.unionByName(related(refs, cities, "city_direction", 500.0, S.FAR_M, kinds)).unionByName(related(refs, cities, "city_direction_distance", 500.0, S.FAR_M, kinds))
     shown = refs.select(F.lit("show_division").alias("template"), "country", F.col("name").alias("place"))
     return out.unionByName(shown, allowMissingColumns=True)
+
+
+@F.pandas_udf(T.StructType([T.StructField("centre_m", T.DoubleType()), T.StructField("radius_m", T.DoubleType()), T.StructField("border_m", T.DoubleType())]))
+def place_in(area: pd.Series, point: pd.Series) -> pd.DataFrame:
+    """Of a point in an area: metres to the centroid, the radius that counts as the centre, metres to the border."""
+    from cartoloom.geo.wkb import decode_cached, points_of
+
+    x, y = points_of(point)
+    out = []
+    for a, px, py in zip(area, x, y):
+        s = decode_cached(bytes(a))
+        cx, cy = K.centroid(s)
+        _, qx, qy, _, _ = K.nearest(K.segments_of(s), px.reshape(1), py.reshape(1))
+        out.append((float(distance(px, py, cx, cy)), S.center_radius(K.sphere_area(s)), float(distance(px, py, qx, qy)[0])))
+    return pd.DataFrame(out, columns=["centre_m", "radius_m", "border_m"], dtype="float64")
+
+
+def sample_inside(areas: DataFrame, points: DataFrame, quota: int, band_m: float = 500.0, pool: int = POOL) -> DataFrame:
+    """Parameters for containment, centre and periphery: per country ``quota`` named land areas, drawn before any test,
+    with one kind of point found in them.  ``points``: ``id, subtype, class, geometry``."""
+    named = areas.where("is_land and subtype = 'locality' and name is not null and geometry is not null").dropDuplicates(["id"])
+    drawn = ranked_per_stratum(named, "country", "id", quota).select("id", "name", "country", "geometry")
+    own = points.where("geometry is not null").dropDuplicates(["id"])
+    inside = near_and_inside(own.select("id", "geometry"), None, drawn.select("id", "geometry"))
+    p = own.select(F.col("id").alias("id_a"), "subtype", "class", F.col("geometry").alias("point"))
+    a = drawn.select(F.col("id").alias("id_b"), "name", "country", F.col("geometry").alias("area"))
+    # a bounded pool of hits per area, drawn by a hash, is tested further; only these carry geometries on
+    h = F.md5(F.concat_ws("|", "id_a", F.lit(SEED)))
+    w = Window.partitionBy("id_b").orderBy("h", "id_a")
+    hit = inside.withColumn("h", h).withColumn("n", F.row_number().over(w)).where(F.col("n") <= pool).join(p, "id_a")
+    at = hit.join(a, "id_b").withColumn("m", place_in("area", "point"))
+    kinds = F.explode(
+        F.array_compact(F.array(F.lit("containment"), F.when(F.col("m.centre_m") <= F.col("m.radius_m"), "center"), F.when(F.col("m.border_m") <= band_m, "periphery")))
+    )
+    rows = at.select("id_b", "country", F.col("name").alias("place"), "subtype", "class", "h", F.round("m.radius_m", 1).alias("center_radius_m"), kinds.alias("template"))
+    one = rows.groupBy("template", "id_b", "country", "place").agg(F.min(F.struct("h", "subtype", "class", "center_radius_m")).alias("k"))
+    return one.select("template", "country", "place", "k.subtype", "k.class", F.when(F.col("template") == "center", F.col("k.center_radius_m")).alias("center_radius_m"))

@@ -134,6 +134,18 @@ def sample_relations(spark, sf_dir):
     return G.sample_relations(table(spark, sf_dir, "divisions").dropDuplicates(["id"]), features, QUOTA)
 
 
+def sample_inside(spark, sf_dir):
+    v = views.open_views(spark, sf_dir)
+    return G.sample_inside(v["division_areas"], v["infrastructures"].select("id", "subtype", "class", "geometry"), QUOTA)
+
+
+def sample_places_inside(spark, sf_dir):
+    """The same for places, whose kind is the main category."""
+    v = views.open_views(spark, sf_dir)
+    p = v["places"].select("id", F.lit("place").alias("subtype"), F.col("category").alias("class"), "geometry")
+    return G.sample_inside(v["division_areas"], p, QUOTA).where("template = 'containment'").select(F.lit("places_containment").alias("template"), "country", "place", F.col("class").alias("category"))
+
+
 BOX = (-5.0, 36.0, 15.0, 50.0)
 
 
@@ -285,7 +297,7 @@ QUERIES = {f"view_{n}": _view(n) for n in _NAMED} | {
     f.__name__: f
     for f in (
         newest_divisions, folded_names, name_equals, name_contains, class_profile, category_profile, countries_semi, shape_measures, distance_and_bearing,
-        format_distance, normalized_sql, sample_stratified, sample_containment, sample_relations, scan_in_box, grown_boxes, line_positions, compound_intersect,
+        format_distance, normalized_sql, sample_stratified, sample_containment, sample_relations, sample_inside, sample_places_inside, scan_in_box, grown_boxes, line_positions, compound_intersect,
         prepared_query, fenced_statements, resolve_names, pick_name, questions, accentless_variant, dedup_pairs,
         cap_per_template, split_components, split_stratified, unknown_bucket, chat_messages, eval_buckets, eval_verdict, geojson_features, intent_templates,
         windowed_events,

@@ -172,3 +172,24 @@ def test_geojson(views):
     got = geojson.feature_collection(rows)["features"]
     assert [f["geometry"] and f["geometry"]["type"] for f in got] == ["Point", "LineString", None]
     assert got[1]["properties"] == {"id": "line", "name": None} and got[1]["geometry"]["coordinates"] == [[10.0, 45.0], [10.001, 45.001]]
+
+
+def test_sampled_parameters_have_answers(views):
+    from cartoloom.plans import sampling as G
+
+    d = views["divisions"].select("id", "name", "country", "subtype", "geometry")
+    e = views["infrastructures"].selectExpr("id", "'XX' as country", "subtype", "class", "geometry")
+    got = G.sample_relations(d, e, 5).collect()
+    assert {r["template"] for r in got} == {"proximity", "direction", "direction_distance", "city_direction", "city_direction_distance", "show_division"}
+    for r in got:
+        if r["template"] == "proximity":
+            assert ids(S.proximity(views, r["place"], r["subtype"], r["class"]))
+        if r["template"] == "direction":
+            assert ids(S.direction(views, r["place"], r["subtype"], r["class"], r["direction"]))
+        if r["template"] == "city_direction":
+            assert ids(S.city_direction(views, r["place"], r["direction"]))
+    got = G.sample_inside(views["division_areas"], views["infrastructures"].select("id", "subtype", "class", "geometry"), 5).collect()
+    assert {"containment", "center"} <= {r["template"] for r in got}
+    for r in got:
+        run = {"containment": S.containment, "center": S.center, "periphery": S.periphery}[r["template"]]
+        assert ids(run(views, r["place"], r["subtype"], r["class"]))
