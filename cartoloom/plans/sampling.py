@@ -1,38 +1,51 @@
 """Set-based sampling of question parameters that surely have an answer.
 
-References are drawn per country by a hash; so is a bounded pool of candidates per country, before any exact test.
-References and candidates meet by an equi-join on the country, at most ``quota * pool`` pairs each, and the relation is
-tested on these pairs only.  No retry loop is needed and the shares of the countries do not matter.
+References are drawn per country in the order of a hash, ``quota`` at first.  All features are tested against all drawn
+references, inside a scan without a join or a pool, and every template keeps its first ``quota`` references with a hit in
+each country.  Countries that fall short get further references, twice as many each round, until the quota is full or no
+reference is left; so the result is that of testing everything first and applying the quota afterwards.
 """
 
 from __future__ import annotations
 
+from collections import Counter
+from collections.abc import Iterator
+from hashlib import md5
+
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cartoloom.geo import kernels as K
-from cartoloom.geo.sphere import distance
-from cartoloom.geo.wkb import decode
+from cartoloom.geo.sphere import degrees_for, distance, lon_degrees_for
+from cartoloom.geo.wkb import decode, points_of
 from cartoloom.operators import spatial as S
 from cartoloom.operators.nearby import near_and_inside
 from cartoloom.plans.dataset import SEED, ranked_per_stratum
+from cartoloom.session import checkpointed
 
 POOL = 200
+REFS_PER_ROUND = 100_000  # drawn references held by the driver at once
+# Template: least and greatest metres from the reference, whether the hit must lie in its country, and in some direction.
+NEAR = {"proximity": (0.0, 5000.0, True, False), "direction": (0.0, S.FAR_M, True, True), "direction_distance": (0.0, S.FAR_M, True, True)}
+CITIES = {"city_direction": (500.0, S.FAR_M, True, True), "city_direction_distance": (500.0, S.FAR_M, True, True)}
+SHOWN = "show_division"
+HIT = "template string, ref int, h string, subtype string, class string, distance_m double, bearing double"
+SAMPLE = "template string, country string, place string, subtype string, class string, distance_m double, bearing double"
 
 
 @F.pandas_udf(T.StructType([T.StructField("lon", T.DoubleType()), T.StructField("lat", T.DoubleType())]))
 def centre_of(g: pd.Series) -> pd.DataFrame:
     """Centroid of a shape; null where there is none."""
-    shapes = [decode(x) for x in g]
-    return pd.DataFrame([(None, None) if s is None else K.centroid(s) for s in shapes], columns=["lon", "lat"], dtype="float64")
-
-
-@F.pandas_udf(T.StructType([T.StructField("metres", T.DoubleType()), T.StructField("bearing", T.DoubleType())]))
-def from_to(x0: pd.Series, y0: pd.Series, x1: pd.Series, y1: pd.Series) -> pd.DataFrame:
-    """Geodesic distance and planar bearing."""
-    return pd.DataFrame({"metres": distance(x0, y0, x1, y1), "bearing": S.azimuth(x0.to_numpy(), y0.to_numpy(), x1.to_numpy(), y1.to_numpy())})
+    lon, lat = points_of(g)
+    for i in np.flatnonzero(np.isnan(lon)):
+        s = decode(g.iloc[i])
+        if s is not None:
+            lon[i], lat[i] = K.centroid(s)
+    return pd.DataFrame({"lon": lon, "lat": lat})
 
 
 def compass(bearing: Column) -> Column:
@@ -40,44 +53,104 @@ def compass(bearing: Column) -> Column:
     return F.when((bearing >= 45) & (bearing < 135), "east").when((bearing >= 135) & (bearing < 225), "south").when((bearing >= 225) & (bearing < 315), "west").when(bearing.isNotNull(), "north")
 
 
-def located(rows: DataFrame, *columns: str) -> DataFrame:
-    return rows.where("geometry is not null and country is not null").select("id", "country", *columns, centre_of("geometry").alias("c")).where("c.lon is not null").select("id", "country", *columns, "c.lon", "c.lat")
-
+def centred(rows: DataFrame, *columns: str) -> DataFrame:
+    """Rows by their centroid, held so that several rounds read the same ones."""
+    own = rows.where("id is not null and geometry is not null").select("id", "country", *columns, centre_of("geometry").alias("c"))
+    return checkpointed(own.where("c.lon is not null").select("id", "country", *columns, "c.lon", "c.lat"))
 
-def candidates(rows: DataFrame, *columns: str, pool: int = POOL) -> DataFrame:
-    """At most ``pool`` rows of each country, located after they were drawn."""
-    drawn = ranked_per_stratum(rows.where("geometry is not null"), "country", "id", pool)
-    return located(drawn, *columns)
 
+def first_hits(rows: DataFrame, refs: list[tuple], wanted: dict[str, tuple], short: dict[str, set[str]]) -> DataFrame:
+    """Of each reference and template the hit of smallest hash among all rows; ``refs``: id, country, lon, lat.
 
-def related(refs: DataFrame, pool: DataFrame, template: str, low: float, high: float, keep: list[str]) -> DataFrame:
-    """One hit per reference, drawn by a hash: a candidate of its country within a distance range."""
-    a, b = refs.alias("a"), pool.alias("b")
-    both = a.join(b, F.col("a.country") == F.col("b.country")).where("a.id <> b.id")
-    both = both.withColumn("m", from_to("a.lon", "a.lat", "b.lon", "b.lat")).where((F.col("m.metres") >= low) & (F.col("m.metres") <= high))
-    h = F.md5(F.concat_ws("|", F.col("a.id"), F.col("b.id"), F.lit(template), F.lit(SEED)))
-    cols = [F.col(f"b.{c}").alias(c) for c in keep]
-    one = both.groupBy(F.col("a.id").alias("ref_id"), F.col("a.country").alias("country"), F.col("a.name").alias("place")).agg(
-        F.min(F.struct(h.alias("h"), *cols, F.round("m.metres", 1).alias("distance_m"), F.round("m.bearing", 1).alias("bearing"))).alias("k")
-    )
-    return one.select(F.lit(template).alias("template"), "country", "place", *[F.col(f"k.{c}").alias(c) for c in keep], "k.distance_m", "k.bearing", compass(F.col("k.bearing")).alias("direction"))
-
+    A reference is tested for the templates that are still short in its country.  A task holds one batch of rows.
+    """
 
-def sample_relations(divisions: DataFrame, features: DataFrame, quota: int, pool: int = POOL) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            order = np.argsort(b.column("lat").to_numpy(), kind="stable")
+            b = b.take(pa.array(order))
+            lon, lat = b.column("lon").to_numpy(), b.column("lat").to_numpy()
+            ids, country = (np.array(b.column(c).to_pylist(), dtype=object) for c in ("id", "country"))
+            subtype, klass = b.column("subtype"), b.column("class")
+            out = []
+            for k, (ref, home, x, y) in enumerate(refs):
+                mine = [t for t in wanted if home in short[t]]
+                if not mine:
+                    continue
+                far = max(wanted[t][1] for t in mine)
+                dy, dx = degrees_for(far), float(lon_degrees_for(far, abs(y)))
+                i, j = np.searchsorted(lat, y - dy, "left"), np.searchsorted(lat, y + dy, "right")
+                at = i + np.flatnonzero(np.abs((lon[i:j] - x + 540) % 360 - 180) <= dx)
+                at = at[ids[at] != ref]
+                if not len(at):
+                    continue
+                metres, bearing = distance(x, y, lon[at], lat[at]), S.azimuth(x, y, lon[at], lat[at])
+                own = country[at] == home
+                for t in mine:
+                    low, high, inland, turned = wanted[t]
+                    good = (metres >= low) & (metres <= high)
+                    if inland:
+                        good &= own
+                    if turned:
+                        good &= ~np.isnan(bearing)
+                    hits = np.flatnonzero(good)
+                    if not len(hits):
+                        continue
+                    h = [md5(f"{ref}|{z}|{t}|{SEED}".encode()).hexdigest() for z in ids[at[hits]]]
+                    least = min(h)
+                    for n, z in zip(hits, h):
+                        if z == least:
+                            a = int(at[n])
+                            out.append((t, k, z, subtype[a].as_py(), klass[a].as_py(), float(metres[n]), None if np.isnan(bearing[n]) else float(bearing[n])))
+            if out:
+                cols = list(zip(*out))
+                kinds = [pa.string(), pa.int32(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, z) for c, z in zip(cols, kinds)], ["template", "ref", "h", "subtype", "class", "distance_m", "bearing"])
+
+    found = rows.select("id", "country", "subtype", "class", "lon", "lat").mapInArrow(run, HIT)
+    return found.groupBy("template", "ref").agg(F.min(F.struct("h", "subtype", "class", "distance_m", "bearing")).alias("k")).select("template", "ref", "k.*")
+
+
+def sampled(refs: DataFrame, sources: list[tuple[DataFrame, dict[str, tuple]]], quota: int) -> DataFrame:
+    """Per template and country the first ``quota`` references with a hit, each with one hit.
+
+    ``refs``: ``id, country, name, lon, lat``; ``sources``: rows and the templates to be tested on them.  The driver holds
+    the references of one round and the result, at most ``quota`` rows per template and country.
+    """
+    asked = {r["country"] for r in refs.where("country is not null").select("country").distinct().collect()}
+    short = {t: set(asked) for t in [SHOWN, *(t for _, wanted in sources for t in wanted)]}
+    rows, full = [], Counter()
+    done, step = 0, quota
+    while asked and quota > 0:
+        drawn = ranked_per_stratum(refs.where(F.col("country").isin(*asked)), "country", "id", done + step).where(F.col("pick") > done)
+        drawn = sorted(drawn.select("country", "pick", "id", "name", "lon", "lat").collect())
+        plain = [(r["id"], r["country"], r["lon"], r["lat"]) for r in drawn]
+        hits = [(SHOWN, k, None, None, None, None, None) for k in range(len(drawn))]
+        for source, wanted in sources:
+            if drawn and any(short[t] for t in wanted):
+                hits += [tuple(r) for r in first_hits(source, plain, wanted, short).collect()]
+        for t, k, _, *hit in sorted(hits, key=lambda r: (r[0], r[1])):
+            home = drawn[k]["country"]
+            if home in short[t] and full[t, home] < quota:
+                full[t, home] += 1
+                rows.append((t, home, drawn[k]["name"], *hit))
+        size = Counter(r["country"] for r in drawn)
+        for t in short:
+            short[t] = {c for c in short[t] if full[t, c] < quota and size[c] == step}
+        asked = set().union(*short.values())
+        done, step = done + step, min(2 * step, max(quota, REFS_PER_ROUND // max(1, len(asked))))
+    out = refs.sparkSession.createDataFrame(rows, SAMPLE)
+    return out.withColumn("distance_m", F.round("distance_m", 1)).withColumn("direction", compass(F.col("bearing"))).withColumn("bearing", F.round("bearing", 1))
+
+
+def sample_relations(divisions: DataFrame, features: DataFrame, quota: int) -> DataFrame:
     """Parameters for the relations between a named place and a feature or another place.
 
     ``divisions``: ``id, name, country, subtype, geometry``; ``features``: ``id, country, subtype, class, geometry``.
     """
-    towns = divisions.where("subtype = 'locality' and name is not null and geometry is not null")
-    refs = located(ranked_per_stratum(towns, "country", "id", quota), "name")
-    near = candidates(features, "subtype", "class", pool=pool)
-    cities = candidates(towns.select("id", "country", F.lit(None).cast("string").alias("subtype"), F.lit(None).cast("string").alias("class"), "geometry"), "subtype", "class", pool=pool)
-    kinds = ["subtype", "class"]
-    out = related(refs, near, "proximity", 0.0, 5000.0, kinds)
-    out = out.unionByName(related(refs, near, "direction", 0.0, S.FAR_M, kinds)).unionByName(related(refs, near, "direction_distance", 0.0, S.FAR_M, kinds))
-    out = out.unionByName(related(refs, cities, "city_direction", 500.0, S.FAR_M, kinds)).unionByName(related(refs, cities, "city_direction_distance", 500.0, S.FAR_M, kinds))
-    shown = refs.select(F.lit("show_division").alias("template"), "country", F.col("name").alias("place"))
-    return out.unionByName(shown, allowMissingColumns=True)
+    towns = centred(divisions.where("subtype = 'locality' and name is not null"), "name")
+    cities = towns.withColumns({c: F.lit(None).cast("string") for c in ("subtype", "class")})
+    return sampled(towns, [(centred(features, "subtype", "class"), NEAR), (cities, CITIES)], quota)
 
 
 @F.pandas_udf(T.StructType([T.StructField("centre_m", T.DoubleType()), T.StructField("radius_m", T.DoubleType()), T.StructField("border_m", T.DoubleType())]))

@@ -193,3 +193,18 @@ def test_sampled_parameters_have_answers(views):
     for r in got:
         run = {"containment": S.containment, "center": S.center, "periphery": S.periphery}[r["template"]]
         assert ids(run(views, r["place"], r["subtype"], r["class"]))
+
+
+def test_relations_are_sampled_from_all_features(spark):
+    """One feature near one of 40 towns, among 3000 that are too far: neither is left to chance."""
+    from cartoloom.plans import sampling as G
+
+    d = spark.createDataFrame([(f"t{k}", f"town {k}", "XX", "locality", pt(10 + 0.2 * k, 45.0)) for k in range(40)], "id string, name string, country string, subtype string, geometry binary")
+    far = [(f"f{k}", "XX", "transit", "bus_stop", pt(10 + 0.2 * (k % 40), 45.3 + 1e-4 * k)) for k in range(3000)]
+    e = spark.createDataFrame([*far, ("near", "XX", "transit", "parking", pt(13.4, 45.01))], "id string, country string, subtype string, class string, geometry binary")
+    got = [r for r in G.sample_relations(d, e, 2).collect() if r["template"] == "proximity"]
+    assert [(r["place"], r["class"]) for r in got] == [("town 17", "parking")]
+    n = {t: 0 for t in (*G.NEAR, *G.CITIES, G.SHOWN)}
+    for r in G.sample_relations(d, e, 2).collect():
+        n[r["template"]] += 1
+    assert n == {"proximity": 1, "direction": 2, "direction_distance": 2, "city_direction": 2, "city_direction_distance": 2, "show_division": 2}
