@@ -15,19 +15,19 @@ from hashlib import md5
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cartoloom.geo import kernels as K
 from cartoloom.geo.sphere import degrees_for, distance, lon_degrees_for
-from cartoloom.geo.wkb import decode, points_of
+from cartoloom.geo.wkb import decode, decode_cached, points_of
 from cartoloom.operators import spatial as S
 from cartoloom.operators.nearby import near_and_inside
 from cartoloom.plans.dataset import SEED, ranked_per_stratum
 from cartoloom.session import checkpointed
 
-POOL = 200
+GROUP = 2000  # points of an area tested at once
 REFS_PER_ROUND = 100_000  # drawn references held by the driver at once
 # Template: least and greatest metres from the reference, whether the hit must lie in its country, and in some direction.
 NEAR = {"proximity": (0.0, 5000.0, True, False), "direction": (0.0, S.FAR_M, True, True), "direction_distance": (0.0, S.FAR_M, True, True)}
@@ -153,38 +153,54 @@ def sample_relations(divisions: DataFrame, features: DataFrame, quota: int) -> D
     return sampled(towns, [(centred(features, "subtype", "class"), NEAR), (cities, CITIES)], quota)
 
 
-@F.pandas_udf(T.StructType([T.StructField("centre_m", T.DoubleType()), T.StructField("radius_m", T.DoubleType()), T.StructField("border_m", T.DoubleType())]))
-def place_in(area: pd.Series, point: pd.Series) -> pd.DataFrame:
-    """Of a point in an area: metres to the centroid, the radius that counts as the centre, metres to the border."""
-    from cartoloom.geo.wkb import decode_cached, points_of
-
-    x, y = points_of(point)
-    out = []
-    for a, px, py in zip(area, x, y):
-        s = decode_cached(bytes(a))
-        cx, cy = K.centroid(s)
-        _, qx, qy, _, _ = K.nearest(K.segments_of(s), px.reshape(1), py.reshape(1))
-        out.append((float(distance(px, py, cx, cy)), S.center_radius(K.sphere_area(s)), float(distance(px, py, qx, qy)[0])))
-    return pd.DataFrame(out, columns=["centre_m", "radius_m", "border_m"], dtype="float64")
-
-
-def sample_inside(areas: DataFrame, points: DataFrame, quota: int, band_m: float = 500.0, pool: int = POOL) -> DataFrame:
-    """Parameters for containment, centre and periphery: per country ``quota`` named land areas, drawn before any test,
-    with one kind of point found in them.  ``points``: ``id, subtype, class, geometry``."""
-    named = areas.where("is_land and subtype = 'locality' and name is not null and geometry is not null").dropDuplicates(["id"])
-    drawn = ranked_per_stratum(named, "country", "id", quota).select("id", "name", "country", "geometry")
-    own = points.where("geometry is not null").dropDuplicates(["id"])
-    inside = near_and_inside(own.select("id", "geometry"), None, drawn.select("id", "geometry"))
-    p = own.select(F.col("id").alias("id_a"), "subtype", "class", F.col("geometry").alias("point"))
-    a = drawn.select(F.col("id").alias("id_b"), "name", "country", F.col("geometry").alias("area"))
-    # a bounded pool of hits per area, drawn by a hash, is tested further; only these carry geometries on
-    h = F.md5(F.concat_ws("|", "id_a", F.lit(SEED)))
-    w = Window.partitionBy("id_b").orderBy("h", "id_a")
-    hit = inside.withColumn("h", h).withColumn("n", F.row_number().over(w)).where(F.col("n") <= pool).join(p, "id_a")
-    at = hit.join(a, "id_b").withColumn("m", place_in("area", "point"))
-    kinds = F.explode(
-        F.array_compact(F.array(F.lit("containment"), F.when(F.col("m.centre_m") <= F.col("m.radius_m"), "center"), F.when(F.col("m.border_m") <= band_m, "periphery")))
-    )
-    rows = at.select("id_b", "country", F.col("name").alias("place"), "subtype", "class", "h", F.round("m.radius_m", 1).alias("center_radius_m"), kinds.alias("template"))
-    one = rows.groupBy("template", "id_b", "country", "place").agg(F.min(F.struct("h", "subtype", "class", "center_radius_m")).alias("k"))
-    return one.select("template", "country", "place", "k.subtype", "k.class", F.when(F.col("template") == "center", F.col("k.center_radius_m")).alias("center_radius_m"))
+FOUND = "id_b string, template string, h string, subtype string, class string, center_radius_m double"
+
+
+def kinds_in(groups: DataFrame, band_m: float) -> DataFrame:
+    """Of each group of points in one area the point of smallest hash per template that holds for it.
+
+    ``groups``: ``id_b, area, hits array<struct<h, subtype, class, lon, lat>>``.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = []
+            for k in range(b.num_rows):
+                key, raw, hits = (b.column(c)[k].as_py() for c in ("id_b", "area", "hits"))
+                s = decode_cached(raw)
+                x, y = (np.array([p[c] for p in hits]) for c in ("lon", "lat"))
+                radius = S.center_radius(K.sphere_area(s))
+                _, qx, qy, _, _ = K.nearest(K.segments_of(s), x, y)
+                tests = {"containment": np.full(len(x), True), "center": distance(x, y, *K.centroid(s)) <= radius, "periphery": distance(x, y, qx, qy) <= band_m}
+                for template, good in tests.items():
+                    some = [hits[i] for i in np.flatnonzero(good)]
+                    least = min((p["h"] for p in some), default=None)
+                    out += [(key, template, p["h"], p["subtype"], p["class"], radius) for p in some if p["h"] == least]
+            if out:
+                kinds = [pa.string()] * 5 + [pa.float64()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, z) for c, z in zip(zip(*out), kinds)], ["id_b", "template", "h", "subtype", "class", "center_radius_m"])
+
+    return groups.select("id_b", "area", "hits").mapInArrow(run, FOUND)
+
+
+def sample_inside(areas: DataFrame, points: DataFrame, quota: int, band_m: float = 500.0) -> DataFrame:
+    """Parameters for containment, centre and periphery: per template and country ``quota`` named land areas for which
+    some point holds, with one kind of point found in them.  ``points``: ``id, subtype, class, geometry``.
+
+    Every point in every area is tested.  An area's geometry meets its points once per group of about ``GROUP`` points.
+    """
+    named = areas.where("is_land and subtype = 'locality' and name is not null and country is not null and geometry is not null").dropDuplicates(["id"])
+    own = points.where("id is not null and geometry is not null").dropDuplicates(["id"])
+    inside = checkpointed(near_and_inside(own.select("id", "geometry"), None, named.select("id", "geometry")).select("id_a", "id_b"))
+    p = own.select(F.col("id").alias("id_a"), "subtype", "class", centre_of("geometry").alias("c"))
+    # areas of many points, at most one in GROUP points
+    heavy = inside.groupBy("id_b").agg(F.ceil(F.count("*") / GROUP).alias("parts")).where("parts > 1")
+    part = F.pmod(F.xxhash64("id_a"), F.coalesce(F.col("parts"), F.lit(1)))
+    hit = inside.join(F.broadcast(heavy), "id_b", "left").withColumn("part", part).join(p, "id_a")
+    h = F.md5(F.concat_ws("|", "id_a", F.lit(SEED))).alias("h")
+    groups = hit.groupBy("id_b", "part").agg(F.collect_list(F.struct(h, "subtype", "class", "c.lon", "c.lat")).alias("hits"))
+    found = kinds_in(groups.join(named.select(F.col("id").alias("id_b"), F.col("geometry").alias("area")), "id_b"), band_m)
+    one = found.groupBy("template", "id_b").agg(F.min(F.struct("h", "subtype", "class", "center_radius_m")).alias("k"))
+    at = one.join(named.select(F.col("id").alias("id_b"), "name", "country"), "id_b").withColumn("stratum", F.concat_ws("|", "template", "country"))
+    radius = F.when(F.col("template") == "center", F.round("k.center_radius_m", 1)).alias("center_radius_m")
+    return ranked_per_stratum(at, "stratum", "id_b", quota).select("template", "country", F.col("name").alias("place"), "k.subtype", "k.class", radius)

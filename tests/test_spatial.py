@@ -208,3 +208,21 @@ def test_relations_are_sampled_from_all_features(spark):
     for r in G.sample_relations(d, e, 2).collect():
         n[r["template"]] += 1
     assert n == {"proximity": 1, "direction": 2, "direction_distance": 2, "city_direction": 2, "city_direction_distance": 2, "show_division": 2}
+
+
+def test_areas_without_a_point_use_no_quota(spark):
+    """Of 30 areas three have a point; one has 500, of which one lies in the centre and one near the border."""
+    from cartoloom.plans import sampling as G
+
+    a = spark.createDataFrame([(f"a{k}", f"area {k}", "XX", "locality", True, ring(10 + 0.5 * k, 45.0, 0.2)) for k in range(30)], "id string, name string, country string, subtype string, is_land boolean, geometry binary")
+    many = [(f"m{k}", "transit", "bus_stop", pt(13.5 + 0.1, 45.0 + 1e-5 * k)) for k in range(498)]
+    few = [("c", "transit", "parking", pt(13.5, 45.0)), ("b", "transit", "ferry_terminal", pt(13.5, 45.199)), ("x", "power", "tower", pt(15.1, 45.1)), ("y", "power", "tower", pt(20.1, 45.1))]
+    e = spark.createDataFrame(many + few, "id string, subtype string, class string, geometry binary")
+    got = {(r["template"], r["place"], r["class"]) for r in G.sample_inside(a, e, 5).collect()}
+    assert {(t, p) for t, p, _ in got if t == "containment"} == {("containment", "area 7"), ("containment", "area 10"), ("containment", "area 20")}
+    assert {x for x in got if x[0] != "containment"} == {("center", "area 7", "parking"), ("periphery", "area 7", "ferry_terminal")}
+    groups, G.GROUP = G.GROUP, 20
+    try:
+        assert {(r["template"], r["place"], r["class"]) for r in G.sample_inside(a, e, 5).collect()} == got
+    finally:
+        G.GROUP = groups
