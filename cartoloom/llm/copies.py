@@ -1,14 +1,20 @@
 """Duplicate clusters for the packing operator: texts whose five-word shingles have a Jaccard similarity of 0.8 or more.
 
-The search is exact up to collisions of 64-bit hashes.  Texts with equal shingle sets are one class from the start and
-take part once.  For the rest, every text's shingles are put into one common order, rare ones first.  A text of n shingles has at most
-n - ceil(0.8 n) that a similar text lacks, so the first m of the shared ones lie among the first n - ceil(0.8 n) + m of
-either; only pairs that share m = n/20 (at least one) there, and whose lengths and positions still allow the
-similarity, are compared in full.  Clusters are the connected components of the
-similar pairs.
-
-The common order needs no exact frequencies: shingles are counted in a histogram of fixed size, which is all that the
-driver and the executors hold of the corpus.
+The search is exact up to collisions of 64-bit hashes, and forms no pairs within a group of copies.  Every text's
+shingles are put into one common order, rare ones first.  A text of n shingles has at most n - ceil(0.8 n) that a
+similar text lacks, so the first m of the shared ones lie among the first n - ceil(0.8 n) + m of either; two texts are
+candidates only if they share m = n/20 (at least one) of these prefixes, and if lengths and positions still allow the
+similarity.
+
+* Of the texts that share a prefix shingle, each is compared with the two representatives of the shingle (its smallest
+  and its largest id).  A text belongs to the family of the smallest representative that it is similar to.
+* Families that share a prefix shingle and are not yet linked are compared by their representatives.  Jaccard distance
+  is a metric: where the representatives are further apart than 0.2 and the radii of both families together, no two
+  members can be similar.
+* Only for the families that stay open are members compared with members.
+
+Clusters are the connected components of all similar pairs found.  The common order needs no exact frequencies:
+shingles are counted in a histogram of fixed size, which is all that the driver and the executors hold of the corpus.
 
 Defined results: texts without a word form no pairs and get no cluster; texts of fewer than five words are one
 shingle; case and white space do not matter; repeated ids are one text.
@@ -32,24 +38,19 @@ WORDS = 5
 SIMILARITY = 0.8
 BUCKETS = 1 << 18
 _WORD = re.compile(r"\w+")
+#: Ids of copies up to this number are broadcast (16 MB); more are joined by a shuffle.
+MAX_BROADCAST = 2_000_000
 _CACHE = 200_000  # words whose hashes a task remembers
 
 
 def shingles(text: str, cache: dict[str, int]) -> np.ndarray:
     """Sorted distinct hashes of the text's runs of five words."""
-    import xxhash
-
     words = _WORD.findall(text.lower())
     if not words:
         return np.zeros(0, np.uint64)
     if len(cache) > _CACHE:
         cache.clear()
-    codes = np.empty(len(words), np.uint64)
-    for i, w in enumerate(words):
-        c = cache.get(w)
-        if c is None:
-            c = cache[w] = xxhash.xxh64_intdigest(w)
-        codes[i] = c
+    codes = np.fromiter(map(cache.__getitem__, words), np.uint64, len(words))
     k = min(WORDS, len(codes))
     out = np.zeros(len(codes) - k + 1, np.uint64)
     for j in range(k):
@@ -71,11 +72,21 @@ def prefix_length(n: int) -> int:
     return n - math.ceil(SIMILARITY * n - 1e-9) + wanted(n)
 
 
+class _Codes(dict):
+    """Hashes of words, remembered."""
+
+    def __missing__(self, word: str) -> int:
+        import xxhash
+
+        code = self[word] = xxhash.xxh64_intdigest(word)
+        return code
+
+
 def _sets(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
-        cache: dict[str, int] = {}
+        cache = _Codes()
         for b in batches:
             ids, codes, raw = [], [], []
             for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
@@ -83,10 +94,10 @@ def _sets(docs: DataFrame) -> DataFrame:
                 if len(s):
                     ids.append(i)
                     raw.append(s.tobytes())
-                    codes.append(xxhash.xxh3_128_hexdigest(raw[-1]))
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(codes, pa.string()), pa.array(raw, pa.binary())], ["doc_id", "code", "s"])
+                    codes.append(xxhash.xxh3_128_digest(raw[-1]))
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(codes, pa.binary()), pa.array(raw, pa.binary())], ["doc_id", "code", "s"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, code string, s binary")
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, code binary, s binary")
 
 
 def _histogram(sets: DataFrame) -> np.ndarray:
@@ -122,49 +133,100 @@ def _prefixes(sets: DataFrame, counts: np.ndarray) -> DataFrame:
     return sets.select("doc_id", "s").mapInArrow(run, "h bigint, doc_id bigint, n bigint, p bigint")
 
 
-def _similar(pairs: DataFrame) -> DataFrame:
+def _compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """``(a, b, j)``: the Jaccard similarity of pairs ``(a, b)``; only the sets that are needed travel."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            keep = []
+            j = np.empty(b.num_rows)
             for i, (x, y) in enumerate(zip(b.column(2).to_pylist(), b.column(3).to_pylist())):
                 x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                if both >= SIMILARITY * (len(x) + len(y) - both) - 1e-9:
-                    keep.append(i)
-            got = b.take(pa.array(keep, pa.int64()))
-            yield pa.RecordBatch.from_arrays([got.column(0), got.column(1)], ["a", "b"])
+                both = len(x) if x.shape == y.shape and (x == y).all() else len(np.intersect1d(x, y, assume_unique=True))
+                j[i] = both / (len(x) + len(y) - both)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(j)], ["a", "b", "j"])
 
-    return pairs.mapInArrow(run, "a bigint, b bigint")
+    needed = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    some = checkpointed(sets.select("doc_id", "s").join(needed, "doc_id", "left_semi"))
+    left, right = some.select(F.col("doc_id").alias("a"), F.col("s").alias("sa")), some.select(F.col("doc_id").alias("b"), F.col("s").alias("sb"))
+    return checkpointed(pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb").mapInArrow(run, "a bigint, b bigint, j double"))
 
 
-def similar_pairs(sets: DataFrame) -> DataFrame:
-    """``(a, b)``: pairs of texts (``doc_id, s``, distinct sets) of the required similarity, the smaller id first."""
-    counts = _histogram(sets)
-    prefix = _prefixes(sets, counts)
-    # most shingles of a prefix occur nowhere else; they are dropped before the join
-    shared = prefix.groupBy("h").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low <> high").select("h")
-    own = checkpointed(prefix.join(shared, "h"))
-    x, y = own.alias("x"), own.alias("y")
-    need = F.ceil(F.lit(SIMILARITY / (1 + SIMILARITY)) * (F.col("x.n") + F.col("y.n")) - 1e-9)
+def _candidates(rows: DataFrame) -> DataFrame:
+    """Pairs ``(a, b)`` of rows ``(a, an, ap, b, bn, bp)``, one for each prefix shingle they share, that may be similar."""
+    need = F.ceil(F.lit(SIMILARITY / (1 + SIMILARITY)) * (F.col("an") + F.col("bn")) - 1e-9)
     # at most so many shingles can be shared: those from here on, and those before that both prefixes could hold;
     # the bound holds at every shared shingle, so no count falls short because of it
-    most = F.least(F.col("x.n") - F.col("x.p"), F.col("y.n") - F.col("y.p")) + F.least("x.p", "y.p")
-    near = (F.col("x.doc_id") < F.col("y.doc_id")) & (F.least("x.n", "y.n") >= SIMILARITY * F.greatest("x.n", "y.n") - 1e-9) & (most >= need)
-    least = F.greatest(F.lit(1), F.floor(F.least("x.n", "y.n") / 20))
-    met = x.join(y, (F.col("x.h") == F.col("y.h")) & near).groupBy(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b"), least.alias("least")).agg(F.count("*").alias("k"))
-    found = met.where("k >= least").select("a", "b")
-    found = checkpointed(found)
-    # the sets of the pairs' texts only, so that the large table of sets is shuffled once and not once per side
-    needed = found.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    some = checkpointed(sets.join(needed, "doc_id", "left_semi"))
-    left, right = some.select(F.col("doc_id").alias("a"), F.col("s").alias("sa")), some.select(F.col("doc_id").alias("b"), F.col("s").alias("sb"))
-    return _similar(found.join(left, "a").join(right, "b").select("a", "b", "sa", "sb"))
+    most = F.least(F.col("an") - F.col("ap"), F.col("bn") - F.col("bp")) + F.least("ap", "bp")
+    near = (F.col("a") < F.col("b")) & (F.least("an", "bn") >= SIMILARITY * F.greatest("an", "bn") - 1e-9) & (most >= need)
+    least = F.greatest(F.lit(1), F.floor(F.least("an", "bn") / 20))
+    return rows.where(near).groupBy("a", "b", least.alias("least")).agg(F.count("*").alias("k")).where("k >= least").select("a", "b")
+
+
+def similar_links(sets: DataFrame, prefix: DataFrame) -> DataFrame:
+    """``(a, b)``: similar pairs that connect every text to all others it is similar to, directly or through others.
+
+    ``sets`` has ``doc_id, s``, ``prefix`` the prefix shingles ``h, doc_id, n, p`` of the texts to be compared.
+    """
+    one = F.struct("doc_id", "n", "p")
+    # most shingles of a prefix occur nowhere else; they are dropped before the join
+    shared = prefix.groupBy("h").agg(F.min(one).alias("low"), F.max(one).alias("high")).where("low.doc_id <> high.doc_id")
+    own = checkpointed(prefix.join(shared, "h"))
+    me = [F.col("doc_id").alias("b"), F.col("n").alias("bn"), F.col("p").alias("bp")]
+    to_low = own.select(F.col("low.doc_id").alias("a"), F.col("low.n").alias("an"), F.col("low.p").alias("ap"), *me)
+    to_high = own.select(F.col("doc_id").alias("a"), F.col("n").alias("an"), F.col("p").alias("ap"), F.col("high.doc_id").alias("b"), F.col("high.n").alias("bn"), F.col("high.p").alias("bp"))
+    star = _compared(checkpointed(_candidates(to_low).unionByName(_candidates(to_high)).distinct()), sets).where(F.col("j") >= SIMILARITY - 1e-9)
+    # families: a text goes to its smallest representative, unless it is one itself
+    chosen = star.groupBy("b").agg(F.min(F.struct("a", (1 - F.col("j")).alias("d"))).alias("r")).select(F.col("b").alias("doc_id"), F.col("r.a").alias("f"), F.col("r.d").alias("d"))
+    chosen = checkpointed(chosen)
+    heads = chosen.select(F.col("f").alias("doc_id")).distinct()
+    members = chosen.join(heads, "doc_id", "left_anti")
+    own = own.select("h", "doc_id", "n", "p").join(members, "doc_id", "left").select("h", "doc_id", "n", "p", F.coalesce("f", "doc_id").alias("f"))
+    own = checkpointed(own)
+    radius = members.groupBy("f").agg(F.max("d").alias("d"))
+    linked = checkpointed(components(star.select("a", "b")))
+    span = own.groupBy("h", "f").agg(F.min("n").alias("least"), F.max("n").alias("most"))
+    span = span.join(linked.select(F.col("node").alias("f"), "root"), "f", "left").select("h", "f", "least", "most", F.coalesce("root", "f").alias("root"))
+    x, y = span.alias("x"), span.alias("y")
+    meet = (F.col("x.h") == F.col("y.h")) & (F.col("x.f") < F.col("y.f")) & (F.col("x.root") != F.col("y.root"))
+    fits = (F.col("x.most") >= SIMILARITY * F.col("y.least") - 1e-9) & (F.col("y.most") >= SIMILARITY * F.col("x.least") - 1e-9)
+    apart = checkpointed(x.join(y, meet & fits).select(F.col("x.f").alias("a"), F.col("y.f").alias("b")).distinct())
+    if apart.isEmpty():
+        return star.select("a", "b")
+    between = _compared(apart, sets)
+    wide = lambda c: radius.select(F.col("f").alias(c), F.col("d").alias("d" + c))
+    reach = 1 - SIMILARITY + F.coalesce("da", F.lit(0.0)) + F.coalesce("db", F.lit(0.0)) + 1e-9
+    open_ = between.where(F.col("j") < SIMILARITY - 1e-9).join(wide("a"), "a", "left").join(wide("b"), "b", "left").where("da is not null or db is not null")
+    open_ = checkpointed(open_.where(1 - F.col("j") <= reach).select(F.col("a").alias("fa"), F.col("b").alias("fb")))
+    links = star.select("a", "b").unionByName(between.where(F.col("j") >= SIMILARITY - 1e-9).select("a", "b"))
+    if open_.isEmpty():
+        return links
+    # families that the links have brought together by now need no further look
+    roots = checkpointed(components(links))
+    root = lambda c: roots.select(F.col("node").alias(c), F.col("root").alias("r" + c))
+    open_ = open_.join(root("fa"), "fa", "left").join(root("fb"), "fb", "left").where("coalesce(rfa, fa) <> coalesce(rfb, fb)")
+    open_ = checkpointed(open_.select("fa", "fb"))
+    if open_.isEmpty():
+        return links
+    first = own.join(open_, own["f"] == open_["fa"]).select("h", "fb", F.col("doc_id").alias("u"), F.col("n").alias("un"), F.col("p").alias("up"))
+    second = own.select("h", F.col("f").alias("fb"), F.col("doc_id").alias("v"), F.col("n").alias("vn"), F.col("p").alias("vp"))
+    both = first.join(second, ["h", "fb"])
+    u, v = (F.struct(*[F.col(f"{c}{x}").alias(x or "id") for x in ("", "n", "p")]) for c in "uv")
+    first_is_less = F.col("u") < F.col("v")
+    rows = both.select(F.when(first_is_less, u).otherwise(v).alias("x"), F.when(first_is_less, v).otherwise(u).alias("y")).select(
+        F.col("x.id").alias("a"), F.col("x.n").alias("an"), F.col("x.p").alias("ap"), F.col("y.id").alias("b"), F.col("y.n").alias("bn"), F.col("y.p").alias("bp")
+    )
+    return links.unionByName(_compared(checkpointed(_candidates(rows)), sets).where(F.col("j") >= SIMILARITY - 1e-9).select("a", "b"))
 
 
 def duplicate_clusters(docs: DataFrame) -> DataFrame:
     """``(doc_id, cluster)`` of every text with a word (``doc_id, text``); the cluster is the smallest id in it."""
     sets = checkpointed(_sets(docs))
-    distinct = checkpointed(sets.groupBy("code").agg(F.min("doc_id").alias("doc_id"), F.first("s").alias("s")))  # one code, one set
-    named = sets.select("doc_id", "code").join(distinct.select("code", F.col("doc_id").alias("first")), "code").select("doc_id", "first").distinct()
-    linked = components(similar_pairs(distinct.select("doc_id", "s"))).select(F.col("node").alias("first"), "root")
+    first = sets.groupBy("code").agg(F.min("doc_id").alias("first"))  # one code, one set
+    named = checkpointed(sets.select("doc_id", "code").join(first, "code").select("doc_id", "first").distinct())
+    # texts of an equal set take part once
+    extra = named.where("doc_id <> first").select("doc_id").distinct()
+    if extra.count() <= MAX_BROADCAST:
+        extra = F.broadcast(extra)
+    own = sets.join(extra, "doc_id", "left_anti")
+    linked = components(similar_links(sets, _prefixes(own, _histogram(sets)))).select(F.col("node").alias("first"), "root")
     return named.join(linked, "first", "left").select("doc_id", F.coalesce("root", "first").alias("cluster"))

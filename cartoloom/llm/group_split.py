@@ -4,28 +4,33 @@ Records are related when they share an entity or when their entities share a key
 folded).  Groups come from a distributed union-find: each task builds a local forest over its part of the links; a
 node that lies in several parts links the roots it has there, and these links form the next, smaller level.  Levels
 are merged by fewer tasks each time, but never by so few that a task would hold more than about ``LINKS_PER_TASK``
-links; every level is checkpointed.  Where that bound keeps several tasks busy, the rounds go on until no node has two
-roots (smallest labels travel twice as far with every round).
-
-Groups are then assigned largest first, each to the split that is furthest below its target.  The few groups that
-are large against the whole are assigned one after the other with the targets of every template in view; the rest is
-dealt out in shards, by the main template of the group, each shard starting from what the large groups left to fill.
+links; every level is checkpointed.  The links of one node go to one task, so that smallest labels travel twice as far
+with every round; a node of very many links is spread over as many tasks as its links need, and the roots it gets
+there are linked on the next level.
+
+Groups are then assigned largest first, each to the split that is furthest below its target, with the targets of
+every template in view.  Groups of one composition (so many records of this template, so many of that) are
+interchangeable, so the whole greedy assignment is computed on the table of compositions, with the number of groups of
+each, and the groups of a composition are dealt out by a random rank.  So it is the same at every size, and no task
+ranks more than a bucket of groups.  For a template whose groups have that template only, the records of each split
+differ from the target by less than the template's largest group (times the number of splits).  Where a template has
+at least as many groups as there are splits, every split gets one.
 
 Defined results: records with a null key are dropped; a null entity makes a record a group of its own; a null or
-empty link key links nothing; a record delivered twice is assigned once; ties between groups go by the smallest
-entity, ties between splits by the larger share and then by name; empty tables give empty results; shares are
+empty link key links nothing; a record delivered twice is assigned once; ties between compositions go by their text,
+ties between splits by the larger share and then by name; empty tables give empty results; shares are
 normalised, and extra columns are ignored.
 """
 
 from __future__ import annotations
 
+import json
 import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartoloom.session import checkpointed
@@ -33,8 +38,9 @@ from cartoloom.session import checkpointed
 LINKS_PER_LEAF = 20_000
 LINKS_PER_TASK = 200_000
 FAN_IN = 4  # tasks merged into one per level
-GROUPS_PER_SHARD = 50_000
-LARGE_SHARE = 1 / 2000  # a group with this share of all records is large; there are at most 2000 of them
+GROUPS_PER_BUCKET = 50_000
+#: The table of compositions is read to the driver; it must stay below this many rows.
+MAX_COMPOSITIONS = 500_000
 SPACE = r"(?U)[\s\p{Z}]+"
 
 
@@ -63,9 +69,19 @@ def _forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             root = up
 
 
-def _local_forests(links: DataFrame, tasks: int) -> DataFrame:
-    """``(node, root, part)`` of a forest per task; every link is seen by the task of either of its nodes."""
-    both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))) if tasks > 1 else links.select("a", "b")
+def placed(links: DataFrame, tasks: int, limit: int) -> DataFrame:
+    """Both directions of the links, those of one node ``a`` together, but for nodes of more than ``limit`` links.
+
+    Their links are spread by the other end, so that no task gets more than its share of a hub.
+    """
+    both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    hubs = both.groupBy("a").agg(F.ceil(F.count("*") / limit).alias("n")).where("n > 1")
+    spread = both.join(hubs, "a", "left").select("a", "b", F.coalesce(F.pmod(F.xxhash64("b"), F.col("n")), F.lit(0)).alias("part"))
+    return spread.repartition(tasks, "a", "part").select("a", "b")
+
+
+def _local_forests(links: DataFrame, tasks: int, limit: int) -> DataFrame:
+    """``(node, root)`` of a forest per task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b = [], []
@@ -77,7 +93,8 @@ def _local_forests(links: DataFrame, tasks: int) -> DataFrame:
             for i in range(0, len(node), 100_000):
                 yield pa.RecordBatch.from_arrays([pa.array(node[i : i + 100_000]), pa.array(root[i : i + 100_000])], ["node", "root"])
 
-    return both.repartition(tasks, "a").mapInArrow(run, "node bigint, root bigint")
+    parts = placed(links, tasks, limit) if tasks > 1 else links.select("a", "b").coalesce(1)
+    return parts.mapInArrow(run, "node bigint, root bigint")
 
 
 def components(links: DataFrame, links_per_leaf: int = LINKS_PER_LEAF, links_per_task: int = LINKS_PER_TASK) -> DataFrame:
@@ -86,7 +103,7 @@ def components(links: DataFrame, links_per_leaf: int = LINKS_PER_LEAF, links_per
     tasks = max(1, math.ceil(links.count() / links_per_leaf))
     levels: list[DataFrame] = []
     while True:
-        forest = _local_forests(links, tasks)
+        forest = _local_forests(links, tasks, links_per_leaf)
         if tasks == 1:
             levels.append(checkpointed(forest))
             break
@@ -123,15 +140,52 @@ def entity_groups(records: DataFrame, entity: str = "entity", link: str = "sql",
     return components(links_by_key(records, entity, folded(link)), **sizes).select(F.col("node").alias("entity"), F.col("root").alias("group_entity"))
 
 
-def _deal(sizes: np.ndarray, target: np.ndarray, have: np.ndarray) -> np.ndarray:
-    """Greedy: each group, in the given order, to the split furthest below its target."""
-    out = np.empty(len(sizes), dtype=int)
-    lack = (target - have).tolist()
-    span = range(len(lack))
-    for i, n in enumerate(sizes.tolist()):
-        s = max(span, key=lack.__getitem__)
-        out[i] = s
-        lack[s] -= n
+def shared_out(score: np.ndarray, step: float, n: int) -> np.ndarray:
+    """How many of ``n`` like groups each split gets when each goes to the split of the highest score, which then falls
+    by ``step``; ties go to the earlier split."""
+    got = np.zeros(len(score), dtype=np.int64)
+    if n > 4 * len(score):  # the bulk at once: down to a common level that leaves a few
+        order = np.sort(score)[::-1]
+        rest = (n - 2 * len(score)) * step
+        for k in range(1, len(order) + 1):
+            level = (order[:k].sum() - rest) / k
+            if k == len(order) or level >= order[k]:
+                break
+        got = np.maximum(0, np.floor((score - level) / step)).astype(np.int64)
+    now = score - got * step
+    for _ in range(n - int(got.sum())):
+        j = int(np.argmax(now))
+        got[j] += 1
+        now[j] -= step
+    return got
+
+
+def assigned(compositions: list[tuple[dict[str, int], int]], share: np.ndarray) -> list[np.ndarray]:
+    """Groups of each composition per split; ``compositions`` (records per template, number of groups), largest first."""
+    totals: dict[str, int] = {}
+    for c, n in compositions:
+        for s, k in c.items():
+            totals[s] = totals.get(s, 0) + k * n
+    have = {s: np.zeros(len(share)) for s in totals}
+    groups = {s: np.zeros(len(share), dtype=np.int64) for s in totals}
+    out = []
+    for c, n in compositions:
+        score = sum(k * (share - have[s] / totals[s]) for s, k in c.items())
+        got = shared_out(score, sum(k * k / totals[s] for s, k in c.items()), n)
+        for s, k in c.items():
+            have[s] += got * k
+            groups[s] += got
+        out.append(got)
+    for s in sorted(totals):  # no split without a group of a template that has enough of them
+        for j in np.flatnonzero((groups[s] == 0) & (share > 0)):
+            while groups[s][j] == 0 and groups[s].max() > 1:
+                d = int(np.argmax(groups[s]))
+                i = max((i for i, (c, _) in enumerate(compositions) if s in c and out[i][d] > 0), key=lambda i: -sum(compositions[i][0].values()))
+                out[i][d] -= 1
+                out[i][j] += 1
+                for t in compositions[i][0]:
+                    groups[t][d] -= 1
+                    groups[t][j] += 1
     return out
 
 
@@ -140,7 +194,7 @@ def split_records(
 ) -> DataFrame:
     """``(key, entity, template, group_entity, split_name)``, one row per distinct record.
 
-    The driver sees the split targets, one total per template and the large groups, each of bounded number.
+    The driver sees the split targets and one row per composition of groups.
     """
     spark = records.sparkSession
     want = sorted(((r["split_name"], float(r["share"])) for r in targets.select("split_name", "share").collect()), key=lambda x: (-x[1], x[0]))
@@ -150,39 +204,26 @@ def split_records(
         .groupBy("_key").agg(F.min(F.struct("_entity", "_s")).alias("_r")).select("_key", "_r._entity", "_r._s")
     )
     groups = entity_groups(records, entity, link, **sizes).select(F.col("entity").alias("_entity"), F.col("group_entity").alias("_linked"))
-    placed = rows.join(groups, "_entity", "left").withColumn("_group", F.coalesce("_linked", "_entity")).drop("_linked")
+    placed_rows = rows.join(groups, "_entity", "left").withColumn("_group", F.coalesce("_linked", "_entity")).drop("_linked")
     code = F.coalesce(F.concat(F.lit("e"), F.col("_group").cast("string")), F.concat(F.lit("r"), F.col("_key").cast("string")))
-    placed = checkpointed(placed.withColumn("_code", code))
-    per = checkpointed(placed.groupBy("_code", F.coalesce("_s", F.lit("")).alias("_s")).agg(F.count("*").alias("n"), F.min("_group").alias("_group")))
-    totals = {r["_s"]: r["n"] for r in per.groupBy("_s").agg(F.sum("n").alias("n")).collect()}
-    limit = max(2.0, sum(totals.values()) * LARGE_SHARE)
-    group = per.groupBy("_code").agg(F.sum("n").alias("n"), F.max_by("_s", F.struct("n", "_s")).alias("main"), F.min("_group").alias("_group"))
-    large = group.where(F.col("n") >= limit).select("_code", F.col("n").alias("size"))
-    detail = per.join(large, "_code").toPandas()
-    have = {s: np.zeros(len(names)) for s in totals}
-    assigned = []
-    detail["_group"] = detail["_group"].astype("Int64")
-    for (_, _, c), p in detail.assign(o=-detail["size"]).groupby(["o", "_group", "_code"], sort=True, dropna=False):
-        lack = sum(n * (totals[s] * share - have[s]) / totals[s] for s, n in zip(p["_s"], p["n"]))
-        best = int(np.argmax(lack))
-        for s, n in zip(p["_s"], p["n"]):
-            have[s][best] += n
-        assigned.append((c, names[best]))
-    left = {}  # what is to be filled per template, as shares
-    for s, n in totals.items():
-        rest = np.maximum(n * share - have[s], 0)
-        left[s] = (rest / rest.sum() if rest.sum() > 0 else share).tolist()
-    shards = max(1, math.ceil(sum(totals.values()) / GROUPS_PER_SHARD))
-    small = group.where(F.col("n") < limit).withColumn("_shard", F.expr(f"cast(pmod(xxhash64(_code), {shards}) as int)"))
-
-    def deal(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["n", "_group", "_code"], ascending=[False, True, True], kind="stable")
-        goal = np.asarray(left[pdf["main"].iloc[0]]) * pdf["n"].sum()
-        got = _deal(pdf["n"].to_numpy(), goal, np.zeros(len(goal)))
-        return pd.DataFrame({"_code": pdf["_code"], "split_name": [names[i] for i in got]})
-
-    dealt = small.groupBy("main", "_shard").applyInPandas(deal, "_code string, split_name string")
-    split = spark.createDataFrame(assigned, "_code string, split_name string").unionByName(dealt)
-    return placed.join(split, "_code").select(
+    placed_rows = checkpointed(placed_rows.withColumn("_code", code))
+    per = placed_rows.groupBy("_code", F.coalesce("_s", F.lit("")).alias("_s")).agg(F.count("*").alias("n"))
+    # a group has at most one entry per template
+    group = checkpointed(per.groupBy("_code").agg(F.to_json(F.array_sort(F.collect_list(F.struct("_s", "n")))).alias("_mix"), F.sum("n").alias("n")))
+    mixes = group.groupBy("_mix").agg(F.count("*").alias("k"), F.first("n").alias("n")).limit(MAX_COMPOSITIONS + 1).collect()
+    if len(mixes) > MAX_COMPOSITIONS:
+        raise ValueError(f"more than {MAX_COMPOSITIONS} compositions of groups")
+    mixes.sort(key=lambda r: (-r["n"], r["_mix"]))
+    parts = assigned([({x["_s"]: x["n"] for x in json.loads(r["_mix"])}, r["k"]) for r in mixes], share)
+    cuts = spark.createDataFrame([(r["_mix"], np.cumsum(p).tolist()) for r, p in zip(mixes, parts)], "_mix string, _cuts array<bigint>")
+    buckets = 8 * max(1, math.ceil(sum(r["k"] for r in mixes) / GROUPS_PER_BUCKET))
+    ranked = group.select("_code", "_mix", F.xxhash64("_code").alias("_u")).withColumn("_b", F.expr(f"cast(floor((_u / 18446744073709551616D + 0.5D) * {buckets}) as int)"))
+    lower = Window.partitionBy("_mix").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    before = ranked.groupBy("_mix", "_b").agg(F.count("*").alias("_n")).withColumn("_before", F.coalesce(F.sum("_n").over(lower), F.lit(0))).drop("_n")
+    rank = F.col("_before") + F.row_number().over(Window.partitionBy("_mix", "_b").orderBy("_u", "_code"))
+    dealt = ranked.join(before, ["_mix", "_b"]).withColumn("_rank", rank).join(F.broadcast(cuts), "_mix")  # bounded by MAX_COMPOSITIONS
+    which = F.size(F.filter("_cuts", lambda c: c < F.col("_rank")))
+    split = dealt.select("_code", F.element_at(F.array(*[F.lit(x) for x in names]), which + 1).alias("split_name"))
+    return placed_rows.join(split, "_code").select(
         F.col("_key").alias(key), F.col("_entity").alias("entity"), F.col("_s").alias("template"), F.col("_group").alias("group_entity"), "split_name"
     )

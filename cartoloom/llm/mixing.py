@@ -16,6 +16,8 @@ extra columns are ignored.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -23,7 +25,7 @@ from cartoloom.llm.tokens import VOCAB_DIR, VOCABULARY, with_tokens
 from cartoloom.session import checkpointed
 
 SEED = 11
-BUCKETS = 1024
+ROWS_PER_BUCKET = 20_000
 #: The table of targets is read to the driver; it must stay below this many sources.
 MAX_SOURCES = 100_000
 
@@ -55,6 +57,8 @@ def sized(docs: DataFrame, vocab_dir: str = VOCAB_DIR, vocabulary: str = VOCABUL
 
 
 def _plan(counted: DataFrame, targets: DataFrame) -> list[dict]:
+    """One entry per target source.  A source is below its target when the water-filling clamps it there: what it is
+    allotted then is all that its largest number of repeats can give."""
     rows = targets.where("source is not null").groupBy("source").agg(F.max("target_share").alias("w"), F.max("max_repeats").alias("r")).limit(MAX_SOURCES + 1).collect()
     if len(rows) > MAX_SOURCES:
         raise ValueError(f"more than {MAX_SOURCES} sources")
@@ -66,7 +70,7 @@ def _plan(counted: DataFrame, targets: DataFrame) -> list[dict]:
     return [
         {
             "source": s, "target_share": w, "max_repeats": r, "source_tokens": int(sizes.get(s, 0)), "target_tokens": w * total, "allotted_tokens": got[s],
-            "epochs": got[s] / sizes[s] if sizes.get(s) else 0.0, "below_target": r * sizes.get(s, 0) < w * total,
+            "epochs": got[s] / sizes[s] if sizes.get(s) else 0.0, "below_target": got[s] < w * total * (1 - 1e-9),
         }
         for s, (w, r) in sorted(spec.items())
     ]
@@ -86,6 +90,7 @@ def mix_plan(docs: DataFrame, targets: DataFrame, **vocab) -> DataFrame:
 
 def _draw(counted: DataFrame, plan: list[dict], seed: int) -> DataFrame:
     spark = counted.sparkSession
+    buckets = 64 * max(1, math.ceil(counted.count() / ROWS_PER_BUCKET))
     rows = []
     for p in plan:
         if p["allotted_tokens"] > 0:
@@ -93,7 +98,7 @@ def _draw(counted: DataFrame, plan: list[dict], seed: int) -> DataFrame:
             rows.append((p["source"], whole, max(0.0, p["allotted_tokens"] - whole * p["source_tokens"])))
     allotted = F.broadcast(spark.createDataFrame(rows, "source string, _whole int, _rest double"))  # one row per target source
     u = F.xxhash64("doc_id", F.lit(seed))
-    own = counted.join(allotted, "source").withColumn("_u", u).withColumn("_b", F.expr(f"cast(floor((_u / 18446744073709551616D + 0.5D) * {BUCKETS}) as int)"))
+    own = counted.join(allotted, "source").withColumn("_u", u).withColumn("_b", F.expr(f"cast(floor((_u / 18446744073709551616D + 0.5D) * {buckets}) as int)"))
     sums = own.groupBy("source", "_b", "_rest").agg(F.sum("tokens").alias("_t"))
     lower = Window.partitionBy("source").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     cut = sums.withColumn("_low", F.coalesce(F.sum("_t").over(lower), F.lit(0))).where("_low < _rest").groupBy("source").agg(

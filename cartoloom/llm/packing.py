@@ -42,7 +42,7 @@ class Bins:
 
     def __init__(self, capacity: int):
         self.capacity = capacity
-        self.left: dict[int, list[int]] = {}  # space left -> containers, oldest first
+        self.left: dict[int, dict[int, None]] = {}  # space left -> containers, oldest first
         self.present = 0  # bit r is set when some container has r left
         self.clusters: list[int] = []
         self.sources: list[int] = []
@@ -52,7 +52,7 @@ class Bins:
     def _take(self, b: int, size: int) -> None:
         r = self.space[b]
         same = self.left[r]
-        same.remove(b)
+        del same[b]
         if not same:
             del self.left[r]
             self.present &= ~(1 << r)
@@ -61,7 +61,7 @@ class Bins:
     def _file(self, b: int, r: int) -> None:
         self.space[b] = r
         if r > 0:
-            self.left.setdefault(r, []).append(b)
+            self.left.setdefault(r, {})[b] = None
             self.present |= 1 << r
 
     def place(self, size: int, cluster: int, source: int, item) -> int:

@@ -3,8 +3,8 @@
 Each text is read whole, in overlapping windows, by the bidirectional LSTM of ``pii_model``.  Where windows overlap,
 their scores are blended, so both are decoded (Viterbi, with the CRF transitions) from the same scores there; the tags
 of a document pass from one window to the next at a character of the overlap that both place outside of any item, so
-an item at a border is taken whole from the window that saw all of it.  An exact check then moves each found span to
-the borders of an item of its kind, or drops it if no item of such a shape is there.
+an item at a border is taken whole from the window that saw all of it.  The tags alone decide what an item is and of
+which kind; afterwards punctuation is trimmed from its ends and half words are made whole.
 
 Defined results: a null text has no items and stays null; an empty text stays empty; an item found several times in
 one document is listed once and replaced everywhere it was found; documents delivered twice are each treated alike;
@@ -24,8 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cartoloom.llm.pii_labels import KINDS, settle
-from cartoloom.llm.pii_model import TAGS, Tagger
+from cartoloom.llm.pii_model import KINDS, TAGS, Tagger
 from cartoloom.llm.pii_train import WEIGHTS
 from cartoloom.session import shuffle_width
 
@@ -116,20 +115,33 @@ def _spans(path: np.ndarray) -> list[tuple[int, int, str]]:
     return [(int(on[a]), int(on[b]) + 1, KINDS[int(kind[a])]) for a, b in zip(at, ends)]
 
 
+_EDGE = " \t\r\n\xa0,;:()[]{}<>\"'“”«»|*=-–—/"
+
+
+def trimmed(text: str, a: int, b: int, kind: str) -> tuple[int, int]:
+    """A span without punctuation at its ends and with whole words; a telephone number ends in digits."""
+    while 0 < a < b and text[a].isalnum() and text[a - 1].isalnum():
+        a -= 1
+    while a < b < len(text) and text[b - 1].isalnum() and text[b].isalnum():
+        b += 1
+    if kind == "phone":
+        while a < b and not (text[a].isdigit() or text[a] in "+("):
+            a += 1
+        while a < b and not text[b - 1].isdigit():
+            b -= 1
+        return a, b
+    while a < b and text[a] in _EDGE:
+        a += 1
+    while a < b and (text[b - 1] in _EDGE or text[b - 1] in ".!?" and not (kind == "person" and text[b - 2 : b - 1].isupper() and not text[b - 3 : b - 2].isalpha())):
+        b -= 1
+    return a, b
+
+
 def checked(text: str, raw: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
-    """Spans after the exact check, without overlaps: the earlier and then the longer one stays."""
-    exact = []
-    for a, b, kind in raw:
-        got = settle(kind, a, b, text)
-        if got is None and kind != "person":
-            for other in KINDS[:4]:
-                if other != kind and (x := settle(other, a, b, text)) is not None and 2 * (min(b, x[1]) - max(a, x[0])) >= b - a:
-                    got, kind = x, other
-                    break
-        if got is not None:
-            exact.append((got[0], got[1], kind))
+    """Spans with tidy ends and without overlaps: the earlier and then the longer one stays."""
+    exact = [(*trimmed(text, a, b, kind), kind) for a, b, kind in raw]
     out: list[tuple[int, int, str]] = []
-    for a, b, kind in sorted(set(exact), key=lambda s: (s[0], -s[1], s[2])):
+    for a, b, kind in sorted({s for s in exact if s[0] < s[1]}, key=lambda s: (s[0], -s[1], s[2])):
         if not out or a >= out[-1][1]:
             out.append((a, b, kind))
     return out

@@ -1,8 +1,8 @@
-"""Shapes of personal items: labelled spans for training, and the exact check of what the tagger finds.
+"""Shapes of personal items, for the training labels of the documents only.
 
-The tagger alone decides where an item is looked for.  These shapes serve two ends: ``label`` writes training labels
-on a bounded sample (persons by a list of given names, which the tagger then generalises from), and ``settle`` brings
-a span that the tagger found to the exact borders of an item of its kind, or rejects it.
+The tagger is trained on composed items (``pii_forms``); these shapes say where the documents of the training sample
+hold items of their own, so that those are labelled too or exchanged for composed ones.  Nothing here is used when
+text is searched.
 """
 
 from __future__ import annotations
@@ -44,34 +44,6 @@ _ES = rf"(?:Calle|C/|C\.|Avenida|Avda\.|Av\.|Plaza|Pza\.|Pl\.|Paseo|P\.º|Camino
 _IT = rf"(?:Via|V\.|Viale|V\.le|Corso|C\.so|Piazza|P\.za|Piazzale|Largo|L\.go|Vicolo|Strada) (?:(?:della |delle |dei |degli |del |dell['’]|di ))?{_CAP}(?: {_CAP}){{0,3}}{_END}"
 ADDRESS = re.compile(rf"(?<![\w/.-])(?:{_EN}|{_FR}|{_ES}|{_IT}|{_DE})")
 
-_WORD = r"[A-ZÀ-ÖØ-ÞŁŚŻ][a-zà-öø-ÿœł'’]+"
-_UPPER = r"[A-ZÀ-ÖØ-ÞŁŚŻ]{2,}"
-_INIT = r"[A-ZÀ-ÖØ-Þ]\.(?:[ -]?[A-ZÀ-ÖØ-Þ]\.)?"
-_NAME = rf"{_WORD}(?:-{_WORD})?"
-PERSON = re.compile(
-    rf"(?:{_NAME},? (?:{_NAME} )?(?:{_INIT} )?{_NAME}|{_INIT} {_NAME}|{_UPPER}(?:-{_UPPER})? {_NAME}(?: {_NAME})?(?: {_INIT})?|{_NAME}(?: {_NAME})? (?:{_INIT} )?{_UPPER}(?:-{_UPPER})?|{_NAME},? {_INIT})"
-)
-TITLES = re.compile(
-    r"(?:Mr|Mrs|Ms|Miss|Dr|Prof|Sir|Mme|Mlle|M|MM|Monsieur|Madame|Herr|Herrn|Frau|Don|Doña|Sr|Sra|Señor|Señora|Sig|Signor|Signora|signor|signora|Dott|Dottor|Dottoressa|Ing)\.?(?:ssa)?\s+"
-)
-
-# Given names for the training labels.
-GIVEN = """
-Alice Colin Edith Fiona Graham Harriet Martin Moira Nora Oliver Stuart
-Anne-Laure Benoît Claire Étienne Hélène Jean-Marc Lucie Mathieu Odile Rémi
-Anneliese Dieter Franziska Jürgen Karl-Heinz Katrin Lukas Sabine Uwe
-Álvaro Esteban Javier Lucía María,José Pilar Rocío Íñigo
-Beatrice Chiara Gian,Luca Giulia Lorenzo Matteo Ornella Renzo
-""".split()
-_GIVEN = "|".join(sorted((re.escape(g.replace(",", " ")) for g in GIVEN), key=len, reverse=True))
-_SUR = rf"{_WORD}(?:-{_WORD})?"
-_SURUP = rf"{_UPPER}(?:-{_UPPER})?"
-LABELLED = re.compile(
-    rf"(?<![\w&;'’-])(?:(?:{_GIVEN}) (?:[A-ZÀ-Þ]\. )?(?:{_SURUP}|{_SUR})|(?:{_SURUP}) (?:{_GIVEN})|(?:{_SUR}), (?:{_GIVEN})|"
-    rf"[A-ZÀ-Þ]\. {_WORD}(?:worth|ham|ley|shaw|eau|ac|in|ard|mann|bauer|horn|ich|ez|ales|ano|etti|oni|ini|aro)(?:-{_WORD})?)(?![\w-])"
-)
-
-
 def phones(text: str) -> list[tuple[int, int]]:
     """Spans of telephone numbers: an international or trunk prefix, or the North American grouping."""
     out = []
@@ -85,52 +57,11 @@ def phones(text: str) -> list[tuple[int, int]]:
     return out
 
 
-def spans(kind: str, text: str) -> list[tuple[int, int]]:
-    """Spans of the text that have the exact shape of a kind (persons: any run of name-like words)."""
-    if kind == "phone":
-        return phones(text)
-    rx = {"email": EMAIL, "id_number": ID, "address": ADDRESS, "person": PERSON}[kind]
-    return [m.span() for m in rx.finditer(text)]
-
-
-def label(text: str) -> list[tuple[int, int, str]]:
-    """Training labels of one text; where items overlap, the earlier kind of ``KINDS`` wins."""
+def shaped(text: str) -> list[tuple[int, int, str]]:
+    """Spans of the text that have the shape of an item; where items overlap, the earlier kind of ``KINDS`` wins."""
     taken: list[tuple[int, int, str]] = []
-    for kind in KINDS:
-        found = [m.span() for m in LABELLED.finditer(text)] if kind == "person" else spans(kind, text)
-        for a, b in found:
+    for kind, found in (("email", EMAIL.finditer), ("phone", None), ("id_number", ID.finditer), ("address", ADDRESS.finditer)):
+        for a, b in phones(text) if found is None else [m.span() for m in found(text)]:
             if all(b <= x or a >= y for x, y, _ in taken):
                 taken.append((a, b, kind))
     return sorted(taken)
-
-
-_EDGE = " \t\r\n,;:()[]{}<>\"'“”«»|*=-–—/"
-SETTLE_MARGIN = 40
-
-
-def settle(kind: str, a: int, b: int, text: str) -> tuple[int, int] | None:
-    """The exact item of a kind at a span the tagger found, or ``None`` if no item of that shape is there."""
-    if kind != "person":
-        low, high = max(0, a - SETTLE_MARGIN), min(len(text), b + SETTLE_MARGIN)
-        while low > 0 and not text[low - 1].isspace():
-            low -= 1
-        best, most = None, 0
-        for x, y in spans(kind, text[low:high]):
-            over = min(b, y + low) - max(a, x + low)
-            if over > most:
-                best, most = (x + low, y + low), over
-        return best
-    while a > 0 and (text[a - 1].isalnum() or text[a - 1] in "'’") and text[a].isalnum():
-        a -= 1
-    while b < len(text) and (text[b].isalnum() or (text[b] in "-'’" and b + 1 < len(text) and text[b + 1].isalpha())):
-        b += 1
-    while True:
-        while a < b and text[a] in _EDGE:
-            a += 1
-        while b > a and text[b - 1] in _EDGE + ".!?" and not (text[b - 1] == "." and re.search(r"(?:^|[ -])[A-ZÀ-Þ]\.$", text[a:b])):
-            b -= 1
-        m = TITLES.match(text, a, b)
-        if not m or (m.group().strip() == "M." and not PERSON.fullmatch(text[m.end() : b])):  # M. may be an initial
-            break
-        a = m.end()
-    return (a, b) if PERSON.fullmatch(text[a:b]) else None

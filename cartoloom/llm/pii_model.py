@@ -258,7 +258,8 @@ class Tagger:
                 step += 1
                 size = np.sqrt(sum(float((x * x).sum()) for x in g.values()))
                 scale = min(1.0, 5.0 / max(size, 1e-9))
-                now = rate * min(1.0, step / 50) * (0.02 + 0.98 * max(0.0, 1 - step / steps))
+                done = max(step / steps, (time.time() - began) / seconds)
+                now = rate * min(1.0, step / 50) * (0.02 + 0.98 * max(0.0, 1 - done))
                 for k, x in g.items():
                     x = x * scale
                     m[k] = 0.9 * m[k] + 0.1 * x

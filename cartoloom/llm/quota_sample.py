@@ -97,7 +97,7 @@ def _plan(records: DataFrame, targets: DataFrame, field: str, key: str, fraction
         plan.append(
             {
                 "field": field, "category": c, "target_share": share, "min_rows": floor, "available": sizes.get(c, 0), "seats": seats[c],
-                "reached_share": seats[c] / max(1, sum(seats.values())), "required": max(float(floor), share * size), "met": sizes.get(c, 0) >= max(floor, share * size),
+                "required": max(float(floor), share * size),
             }
         )
     return own, plan, total
@@ -108,18 +108,32 @@ REPORT = (
 )
 
 
-def quota_report(records: DataFrame, targets: DataFrame, field: str, key: str = "sample_id", fraction: float = FRACTION) -> DataFrame:
-    """One row per target category: what is there, what was drawn, and whether the target could be met."""
-    _, plan, _ = _plan(records, targets, field, key, fraction)
+def quota_report(records: DataFrame, targets: DataFrame, field: str, key: str = "sample_id", fraction: float = FRACTION, seed: int = SEED) -> DataFrame:
+    """One row per target category: what is there, what was drawn, and whether the target could be met.
+
+    The seats are counted on the drawn records.  A category is not met when the draw leaves it short of its requirement
+    because it has too few records; the seat that rounding or the floors of others take from it does not count.
+    """
+    own, plan, total = _plan(records, targets, field, key, fraction)
     spark = records.sparkSession
-    names = [c.split(" ")[0] for c in REPORT.split(", ")]
-    return spark.createDataFrame([tuple(p[n] for n in names) for p in plan], REPORT)
+    drawn = {r["category"]: r["n"] for r in _draw(own, plan, total, key, seed).groupBy("category").agg(F.count("*").alias("n")).collect()}
+    whole = max(1, sum(drawn.values()))
+    rows = []
+    for p in plan:
+        n = drawn.get(p["category"], 0)
+        short = n < p["required"] and p["available"] < p["required"]
+        rows.append((p["field"], p["category"], p["target_share"], p["min_rows"], p["available"], n, n / whole, p["required"], not short))
+    return spark.createDataFrame(rows, REPORT)
 
 
 def quota_sample(records: DataFrame, targets: DataFrame, field: str, key: str = "sample_id", fraction: float = FRACTION, seed: int = SEED) -> DataFrame:
     """``(key, category, rank, priority)`` of the drawn records."""
     own, plan, total = _plan(records, targets, field, key, fraction)
-    spark = records.sparkSession
+    return _draw(own, plan, total, key, seed)
+
+
+def _draw(own: DataFrame, plan: list[dict], total: int, key: str, seed: int) -> DataFrame:
+    spark = own.sparkSession
     seats = spark.createDataFrame(
         [(p["category"], p["seats"], p["target_share"], p["min_rows"]) for p in plan if p["seats"]], "_category string, _seats bigint, _share double, _floor int"
     )

@@ -4,7 +4,7 @@ from cartoloom.llm import copies as C
 
 
 def brute(rows):
-    sets = {i: set(C.shingles(t, {}).tolist()) for i, t in rows if t}
+    sets = {i: set(C.shingles(t, C._Codes()).tolist()) for i, t in rows if t}
     sets = {i: s for i, s in sets.items() if s}
     ids = sorted(sets)
     root = {i: i for i in ids}
@@ -43,3 +43,24 @@ def test_clusters_against_brute_force(spark):
 
 def test_empty(spark):
     assert C.duplicate_clusters(spark.createDataFrame([], "doc_id bigint, text string")).count() == 0
+
+
+def test_many_near_copies(spark, monkeypatch):
+    """Pairs that are compared stay linear in the rows when a text has many near copies, and no link is lost."""
+    r = np.random.default_rng(5)
+    words = np.array([f"v{i}" for i in range(4000)])
+    base, other = list(r.choice(words, 120)), list(r.choice(words, 120))
+    rows = []
+    for i in range(400):
+        own = (base if i % 8 else other).copy()
+        for _ in range(int(r.integers(0, 3))):
+            own[int(r.integers(0, len(own)))] = str(r.choice(words))
+        rows.append((i, " ".join(own)))
+    rows += [(1000 + i, " ".join(base[:60] + list(r.choice(words, 60)))) for i in range(40)]  # share half of it
+    rows += [(2000 + i, " ".join(r.choice(words, 80))) for i in range(100)]
+    compared = []
+    inner = C._compared
+    monkeypatch.setattr(C, "_compared", lambda pairs, sets: compared.append(pairs.count()) or inner(pairs, sets))
+    got = C.duplicate_clusters(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)).collect()
+    assert {x["doc_id"]: x["cluster"] for x in got} == brute(rows)
+    assert sum(compared) < 12 * len(rows), compared

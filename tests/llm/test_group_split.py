@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from cartoloom.llm import group_split as G
 
@@ -49,7 +50,7 @@ def data(spark, groups=400):
 
 
 def test_groups_and_splits(spark, monkeypatch):
-    monkeypatch.setattr(G, "GROUPS_PER_SHARD", 300)
+    monkeypatch.setattr(G, "GROUPS_PER_BUCKET", 100)
     records, rows = data(spark)
     groups = {r["entity"]: r["group_entity"] for r in G.entity_groups(records).collect()}
     assert all(groups[e] == e // 1000 * 1000 for e in groups) and len(groups) > 400 and 777_777 not in groups
@@ -71,9 +72,43 @@ def test_groups_and_splits(spark, monkeypatch):
     assert again == {r["sample_id"]: r["split_name"] for r in got}
 
 
-def test_largest_first():
-    out = G._deal(np.array([50, 30, 10, 5, 3, 2]), np.array([80.0, 10, 10]), np.zeros(3))
-    assert out.tolist() == [0, 0, 1, 2, 2, 2]
+def test_hub_is_spread(spark):
+    """No task gets much more than its share of a star, and the star is one component."""
+    n, limit = 200_000, 20_000
+    links = spark.range(1, n + 1).select(F.lit(0).cast("bigint").alias("a"), F.col("id").alias("b"))
+    tasks = n // limit
+    rows = G.placed(links, tasks, limit).groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in rows) == 2 * n and max(r["count"] for r in rows) <= 2 * 2 * limit + 3 * limit
+    got = G.components(links, limit, limit).agg(F.count("*").alias("n"), F.max("root").alias("top")).first()
+    assert (got["n"], got["top"]) == (n + 1, 0)
+
+
+def greedy(groups, share):
+    """One group after the other to the split furthest below its target."""
+    totals, have, out = {}, {}, []
+    for c in groups:
+        for s, k in c.items():
+            totals[s] = totals.get(s, 0) + k
+    for c in groups:
+        lack = [sum(k * (share[j] - have.get((s, j), 0) / totals[s]) for s, k in c.items()) for j in range(len(share))]
+        j = max(range(len(share)), key=lambda i: (round(lack[i], 9), -i))
+        out.append(j)
+        for s, k in c.items():
+            have[s, j] = have.get((s, j), 0) + k
+    return have
+
+
+def test_compositions_are_dealt_like_single_groups():
+    share = np.array([0.8, 0.1, 0.1])
+    table = [({"a": 9, "b": 2}, 3), ({"a": 7}, 5), ({"b": 3}, 40), ({"a": 2}, 400), ({"a": 1}, 1001), ({"b": 1}, 7)]
+    parts = G.assigned(table, share)
+    assert [int(p.sum()) for p in parts] == [n for _, n in table]
+    have = greedy([c for c, n in table for _ in range(n)], share)
+    for s in "ab":
+        for j in range(3):
+            assert abs(sum(p[j] * c.get(s, 0) for (c, _), p in zip(table, parts)) - have[s, j]) <= 3
+    few = G.assigned([({"a": 5}, 1), ({"a": 4}, 1), ({"a": 1}, 1)], share)
+    assert sorted(int(np.argmax(p)) for p in few) == [0, 1, 2]
 
 
 def test_empty(spark):

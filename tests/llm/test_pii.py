@@ -3,7 +3,7 @@ import itertools
 import numpy as np
 import pytest
 
-from cartoloom.llm import pii, pii_labels
+from cartoloom.llm import pii, pii_forms, pii_labels, pii_train
 from cartoloom.llm.pii_model import TAGS, Tagger, Vocabulary, tag_rules
 
 ITEMS = {
@@ -57,18 +57,30 @@ def test_redaction(spark):
     assert pii.found(df.limit(0)).count() == 0
 
 
-def test_held_out_accuracy(spark):
-    """Recall and precision on documents that were not trained on, against the label shapes."""
+def test_documents_not_trained_on(spark):
+    """On other documents of the fixture, the items that have a clear shape are found and nothing else of those kinds."""
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("text is not null").select("text").collect()
     texts = [r["text"] for r in docs]
-    got = pii.find_items(texts)
     hit = wrong = missed = 0
-    for t, items in zip(texts, got):
-        want, have = set(pii_labels.label(t)), set(items)
+    for t, items in zip(texts, pii.find_items(texts)):
+        want, have = set(pii_labels.shaped(t)), {i for i in items if i[2] != "person"}
         hit, wrong, missed = hit + len(want & have), wrong + len(have - want), missed + len(want - have)
     assert hit / (hit + wrong) > 0.98 and hit / (hit + missed) > 0.98
 
 
+def test_training_text_is_labelled_where_its_items_stand():
+    make = pii_forms.Makers(1, ["the", "weir", "and", "opens"], ["Meadow", "Winter", "Council"])
+    places = {"Lyon": ["Lyon"], "Bad": ["Bad Ems"], "Ems": ["Bad Ems"]}
+    own = "Reported by M. Example. The boundary of Bad Ems moved. Call 05.36.49.09.14 now!\n"
+    spans = pii_labels.shaped(own)
+    pieces = pii_train.pieces(own, spans)
+    assert "".join(t for t, _ in pieces) == own and [t for t, s in pieces if s] == ["Call 05.36.49.09.14 now!"]
+    assert [pii_train.doubtful(t, s, places) for t, s in pieces] == [True, False, False, False]
+    for _ in range(200):
+        text, at = pii_train.composed(pieces, make, places)
+        assert all(text[a:b].strip() == text[a:b] != "" for a, b, _ in at) and all(x[1] <= y[0] for x, y in zip(sorted(at), sorted(at)[1:]))
+
+
 def test_gradients():
     r = np.random.default_rng(0)
     m = Tagger(Vocabulary(["\0pad", "\0other", *"abcdef"]), 5)
