@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 
-from cartoloom.geo.sphere import RADIUS_M, distance
+from cartoloom.geo.sphere import RADIUS_M, WGS84_A, WGS84_F, distance
 from cartoloom.geo.wkb import Shape
 from cartoloom.operators.nearby import edges_of, strictly_inside
 
@@ -77,6 +77,40 @@ def sphere_area(shape: Shape) -> float:
     return total
 
 
+def _equal_area(p: np.ndarray) -> np.ndarray:
+    """Points with their latitudes on the sphere that has the same areas as the WGS84 spheroid."""
+    e = np.sqrt(WGS84_F * (2 - WGS84_F))
+    x = np.sin(np.radians(np.append(p[:, 1], 90.0)))
+    q = (1 - e * e) * (x / (1 - (e * x) ** 2) + np.arctanh(e * x) / e)
+    return np.column_stack([p[:, 0], np.degrees(np.arcsin(np.clip(q[:-1] / q[-1], -1, 1)))])
+
+
+def spheroid_area(shape: Shape) -> float:
+    """Area in square metres on the WGS84 spheroid; holes taken off."""
+    e = np.sqrt(WGS84_F * (2 - WGS84_F))
+    radius2 = WGS84_A**2 / 2 * (1 + (1 - e * e) / e * np.arctanh(e))
+    return sphere_area(shape._replace(paths=tuple(_equal_area(p) for p in shape.paths))) * radius2 / RADIUS_M**2
+
+
+def intersects(a: Shape, b: Shape) -> bool:
+    """Whether two shapes share a point: a vertex of one in the other, a vertex on the other's lines, or lines that cross."""
+    if a.bbox[0] > b.bbox[2] or b.bbox[0] > a.bbox[2] or a.bbox[1] > b.bbox[3] or b.bbox[1] > a.bbox[3]:
+        return False
+    for x, y in ((a, b), (b, a)):
+        v = np.concatenate(x.paths)
+        if y.areal and strictly_inside(v[:, 0], v[:, 1], edges_of(y)).any():
+            return True
+        if y.kind in ("POINT", "MULTIPOINT"):
+            w = np.concatenate(y.paths)
+            if x.kind in ("POINT", "MULTIPOINT") and (v[:, None] == w[None]).all(axis=2).any():
+                return True
+        elif (nearest(segments_of(y), v[:, 0], v[:, 1])[0] <= 1e-12).any():
+            return True
+    if "POINT" in a.kind or "POINT" in b.kind:
+        return False
+    return crossing(segments_of(a), segments_of(b)) is not None
+
+
 def line_length(shape: Shape, model: str = "spheroid", axis: str = "lonlat") -> float:
     """Length in metres of a line, or of the rings of an area."""
     s = segments_of(shape)

@@ -23,7 +23,7 @@ from functools import reduce
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -211,23 +211,31 @@ def proximity(v: dict, place: str, subtype: str, klass: str, distance_m: float =
     return _near(of_class(v["infrastructures"], subtype, klass), named(v["divisions"], place), distance_m, measure)
 
 
+def is_line(column: str) -> Column:
+    """Whether a WKB value is a line string, in either byte order, with or without Z, M and SRID."""
+    h = F.hex(F.substring(column, 1, 5))
+    low = F.concat(F.substring(h, 9, 2), F.substring(h, 7, 2), F.substring(h, 5, 2), F.substring(h, 3, 2))
+    code = F.conv(F.when(F.substring(h, 1, 2) == "01", low).otherwise(F.substring(h, 3, 8)), 16, 10).cast("bigint")
+    return F.coalesce(F.pmod(code.bitwiseAND(F.lit(0x0FFFFFFF)), F.lit(1000)) == 2, F.lit(False))
+
+
 def _lines(v: dict, feature: str) -> DataFrame:
     """Line strings of the watercourses whose name contains the term."""
     lines = name_contains(v["water"].where(F.col("class").isin(*LINES)), feature)
-    # little-endian 02000000 or big-endian 00000002 after the byte-order mark
-    return lines.where(F.hex(F.substring("geometry", 1, 5)).isin("0102000000", "0000000002")).orderBy("id")
+    return lines.where(is_line("geometry")).orderBy("id")
 
 
 def _by_nearest_line(features: DataFrame, lines: DataFrame, metres: float, m: Measure, side: int | None) -> DataFrame:
     """Features whose nearest line (planar) is within a distance, one row per id; optionally on one side of it.
 
     With one block of lines the test ends in the scan; with several, the blocks' nearest lines are compared per id.
+    Either way the first of equally near lines wins.
     """
     out, n = None, 0
     own = features.select("id", "name", "geometry").where("geometry is not null")
     for block in blocks(lines):
 
-        def run(batches: Iterator[pa.RecordBatch], block: list[Shape] = block) -> Iterator[pa.RecordBatch]:
+        def run(batches: Iterator[pa.RecordBatch], block: list[Shape] = block, no: int = n) -> Iterator[pa.RecordBatch]:
             segments = [K.segments_of(s) for s in block]
             for b in batches:
                 batch = Batch(b.column("geometry").to_pylist())
@@ -250,15 +258,15 @@ def _by_nearest_line(features: DataFrame, lines: DataFrame, metres: float, m: Me
                         good[j] = K.side_of(segments[which[i]], batch.lon[i : i + 1], batch.lat[i : i + 1])[0] == side
                 if len(rows):
                     got = b.take(pa.array(rows))
-                    yield pa.RecordBatch.from_arrays([*got.columns, pa.array(best[rows]), pa.array(good)], [*got.schema.names, "d", "good"])
+                    yield pa.RecordBatch.from_arrays([*got.columns, pa.array(best[rows]), pa.array(np.full(len(rows), no, np.int32)), pa.array(good)], [*got.schema.names, "d", "no", "good"])
 
-        part = own.mapInArrow(run, FOUND + ", d double, good boolean")
+        part = own.mapInArrow(run, FOUND + ", d double, no int, good boolean")
         out = part if out is None else out.unionByName(part)
         n += 1
     if out is None:
         return features.sparkSession.createDataFrame([], FOUND)
     if n > 1:
-        out = out.withColumn("rn", F.row_number().over(Window.partitionBy("id").orderBy("d"))).where("rn = 1")
+        out = out.withColumn("rn", F.row_number().over(Window.partitionBy("id").orderBy("d", "no"))).where("rn = 1")
     return out.where("good").select("id", "name", "geometry").dropDuplicates(["id"])
 
 
@@ -279,7 +287,7 @@ def center_radius(area_m2: float) -> float:
 
 def center(v: dict, place: str, subtype: str, klass: str, measure: Measure = Measure()) -> DataFrame:
     def test(b: Batch, s: Shape) -> np.ndarray:
-        radius = center_radius(K.sphere_area(s))
+        radius = center_radius(K.spheroid_area(s) if measure.model == "spheroid" else K.sphere_area(s))
         x, y = K.centroid(s)
         rows = b.meeting((x, y, x, y), radius, measure)
         return rows[measure.metres(b.lon[rows], b.lat[rows], x, y) <= radius]

@@ -49,11 +49,10 @@ def _table() -> list[tuple[str, re.Pattern]]:
 @lru_cache(maxsize=1)
 def _labels() -> dict[str, dict]:
     out: dict[str, dict] = {}
-    for key, en, fr in P.rows(P.CLASS_LABELS):
-        subtype, klass = key.split(" ")
+    for subtype, klass, en, fr in P.CLASS_LABELS:
         for x in (en, fr):
             out.setdefault(fold_term(x), {"subtype": subtype, "klass": klass})
-    for key, en, fr in P.rows(P.CATEGORY_LABELS):
+    for key, en, fr in P.CATEGORY_LABELS:
         for x in (en, fr):
             out.setdefault(fold_term(x), {"category": key})
     return out

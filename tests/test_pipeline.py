@@ -41,7 +41,7 @@ def test_french_prepositions(spark):
         [("Maroc", "MA", True), ("France", "FR", True), ("Espagne", "ES", True), ("Pays-Bas", "NL", True), ("Orléans", None, None), ("Le Havre", None, None), ("Lyon", None, None), ("Malte", "MT", True), ("España", "ES", False)],
         "p string, c string, x boolean",
     )
-    got = rows.select(D.with_preposition("de", F.col("p"), F.col("c"), F.col("x")), D.with_preposition("à", F.col("p"), F.col("c"), F.col("x"))).collect()
+    got = rows.select(D.in_french("de", F.col("p"), F.col("c"), F.col("x")), D.in_french("à", F.col("p"), F.col("c"), F.col("x"))).collect()
     assert [r[0] for r in got] == ["du Maroc", "de la France", "de l'Espagne", "des Pays-Bas", "d'Orléans", "du Havre", "de Lyon", "de Malte", "d'España"]
     assert [r[1] for r in got] == ["au Maroc", "à la France", "à l'Espagne", "aux Pays-Bas", "à Orléans", "au Havre", "à Lyon", "à Malte", "à España"]
 
@@ -86,7 +86,7 @@ def test_evaluation(spark):
 
 
 def test_phrase_table():
-    assert len({(t, lang) for t, lang, _, _ in P.phrases()}) == 32 and len(P.rows(P.CLASS_LABELS)) == 33
+    assert len({(t, lang) for t, lang, _, _ in P.phrases()}) == 32 and len(P.CLASS_LABELS) == 33
 
 
 @pytest.mark.parametrize("mode", ["overwrite", "append"])
@@ -107,3 +107,12 @@ def test_stream_equals_table(spark, tmp_path):
     q.processAllAvailable()
     q.stop()
     assert sorted(map(tuple, spark.table("windows").collect())) == sorted(map(tuple, windowed_counts(rows).collect()))
+
+
+def test_groups_of_a_long_chain(spark):
+    """Labels travel along a chain of any length; a hub with many statements is one group as well."""
+    chain = [(i, f"S{k}") for i in range(200) for k in (i, i + 1)]
+    hub = [(1000, f"H{i}") for i in range(50)] + [(1001 + i, f"H{i}") for i in range(50)]
+    rows = spark.createDataFrame(chain + hub + [(5000, "alone"), (5001, None), (None, "S1")], "entity bigint, sql string")
+    got = {r["entity"]: r["group_entity"] for r in D.sql_groups(rows).collect()}
+    assert got == {**dict.fromkeys(range(200), 0), **dict.fromkeys(range(1000, 1051), 1000), 5000: 5000}

@@ -3,7 +3,7 @@ import pytest
 
 from cartoloom.geo import kernels as K
 from cartoloom.geo.sphere import distance, geodesic, haversine
-from cartoloom.geo.wkb import decode, encode
+from cartoloom.geo.wkb import Shape, decode, encode
 from cartoloom.operators import spatial as S
 from cartoloom.plans.intent import answer, parse
 from cartoloom.sources import geojson
@@ -226,3 +226,46 @@ def test_areas_without_a_point_use_no_quota(spark):
         assert {(r["template"], r["place"], r["class"]) for r in G.sample_inside(a, e, 5).collect()} == got
     finally:
         G.GROUP = groups
+
+
+def test_area_on_the_spheroid_and_intersections():
+    ring = lambda x, y, d: np.array([[x, y], [x + d, y], [x + d, y + d], [x, y + d], [x, y]])
+    square = Shape("POLYGON", (ring(10.0, 45.0, 1.0),), (0,))
+    # a degree cell at 45 degrees north on WGS84 has 8,686.6 square kilometres between its parallels
+    e2 = 0.0066943799901413165
+    q = lambda p: (1 - e2) * (np.sin(p) / (1 - e2 * np.sin(p) ** 2) + np.arctanh(np.sqrt(e2) * np.sin(p)) / np.sqrt(e2))
+    exact = 6378137.0**2 / 2 * np.radians(1.0) * (q(np.radians(46.0)) - q(np.radians(45.0)))
+    assert abs(K.spheroid_area(square) / exact - 1) < 2e-4
+    line = lambda *p: Shape("LINESTRING", (np.array(p, dtype=float),), (0,))
+    assert K.intersects(square, line((9.5, 45.5), (11.5, 45.5))) and K.intersects(line((9.5, 45.5), (11.5, 45.5)), square)
+    assert not K.intersects(square, line((9.0, 44.0), (9.5, 46.5))) and K.intersects(square, line((10.4, 45.4), (10.6, 45.6)))
+    assert K.intersects(square, Shape("POLYGON", (ring(9.0, 44.0, 3.0),), (0,))) and not K.intersects(square, Shape("POLYGON", (ring(12.0, 45.0, 1.0),), (0,)))
+    assert K.intersects(square, Shape("POINT", (np.array([[10.5, 45.5]]),), (0,))) and K.intersects(square, Shape("POINT", (np.array([[10.0, 45.5]]),), (0,)))
+
+
+def test_line_strings_in_every_encoding(spark):
+    import struct
+
+    flat = struct.pack("<BII4d", 1, 2, 2, 0, 0, 1, 1)
+    rows = {
+        "little": flat, "big": struct.pack(">BII4d", 0, 2, 2, 0, 0, 1, 1), "z": struct.pack("<BII6d", 1, 1002, 2, 0, 0, 5, 1, 1, 5),
+        "extended z": struct.pack("<BII6d", 1, 0x80000002, 2, 0, 0, 5, 1, 1, 5), "srid": struct.pack("<BIII4d", 1, 0x20000002, 4326, 2, 0, 0, 1, 1),
+        "point": struct.pack("<BI2d", 1, 1, 0, 0), "multi": struct.pack("<BII", 1, 5, 1) + flat, "none": None,
+    }
+    df = spark.createDataFrame([(k, bytearray(v) if v is not None else None) for k, v in rows.items()], "k string, geometry binary")
+    assert {r["k"] for r in df.where(S.is_line("geometry")).collect()} == {"little", "big", "z", "extended z", "srid"}
+
+
+def test_equally_near_lines(spark, monkeypatch):
+    """The first line by id wins a tie, with one block of lines as with many."""
+    lines = [(f"w{i}", "Twin", "river", "LINESTRING", [(-1.0, 0.0), (1.0, 0.0)] if i % 2 else [(1.0, 0.0), (-1.0, 0.0)]) for i in range(4)]
+    wkb = lambda k, p: bytearray(encode(k, [[p]]) if k != "LINESTRING" else encode(k, [[p]]))
+    names = ", ".join(f"{c} string" for c in S.SEARCH_COLUMNS)
+    water = spark.createDataFrame([(i, n, *[None] * (len(S.SEARCH_COLUMNS) - 1), c, wkb(k, p)) for i, n, c, k, p in lines], f"id string, {names}, class string, geometry binary")
+    infra = spark.createDataFrame([(f"e{i}", "x", "transit", "parking", wkb("POINT", [(0.1 * i, 0.01)])) for i in range(5)], "id string, name string, subtype string, class string, geometry binary")
+    v = {"water": water, "infrastructures": infra}
+    got = []
+    for rows in (5000, 1):
+        monkeypatch.setattr(S, "BLOCK_ROWS", rows)
+        got.append([sorted(r["id"] for r in S.left_right_bank(v, "twin", "transit", "parking", side_sign=s).collect()) for s in (1, -1)])
+    assert got[0] == got[1] == [[], [f"e{i}" for i in range(5)]]
