@@ -6,13 +6,12 @@ similar text lacks, so the first m of the shared ones lie among the first n - ce
 candidates only if they share m = n/20 (at least one) of these prefixes, and if lengths and positions still allow the
 similarity.
 
-* Of the texts that share a prefix shingle, each is compared with the two representatives of the shingle (its smallest
-  and its largest id).  A text belongs to the family of the smallest representative that it is similar to.
-* Families that share a prefix shingle and are not yet linked are compared by their representatives.  Jaccard distance
-  is a metric: where the representatives are further apart than 0.2 and the radii of both families together, no two
-  members can be similar.
-* Only for the families that stay open are members compared with members.
+* Of the texts that share a prefix shingle, each is first compared with one of them, in ``ROUNDS`` rounds with another
+  one each time.  Near copies of one text are linked that way, and each text carries the root of its component.
+* Then the candidates of different components are compared: texts that are not linked yet with each other and with the
+  linked ones, and members of two components where the two share a prefix shingle.
 
+So copies of one text meet their representatives only, and the pairs are linear in the number of copies.
 Clusters are the connected components of all similar pairs found.  The common order needs no exact frequencies:
 shingles are counted in a histogram of fixed size, which is all that the driver and the executors hold of the corpus.
 
@@ -37,6 +36,7 @@ from cartoloom.session import checkpointed
 WORDS = 5
 SIMILARITY = 0.8
 BUCKETS = 1 << 18
+ROUNDS = 2
 _WORD = re.compile(r"\w+")
 #: Ids of copies up to this number are broadcast (16 MB); more are joined by a shuffle.
 MAX_BROADCAST = 2_000_000
@@ -119,18 +119,17 @@ def _histogram(sets: DataFrame) -> np.ndarray:
 def _prefixes(sets: DataFrame, counts: np.ndarray) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            h, d, n, p = [], [], [], []
+            h, d, at = [], [], []
             for i, raw in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 s = np.frombuffer(raw, np.uint64)
                 first = s[np.lexsort((s, counts[_bucket(s)]))[: prefix_length(len(s))]]
                 h.append(first.view(np.int64))
                 d.append(np.full(len(first), i))
-                n.append(np.full(len(first), len(s)))
-                p.append(np.arange(len(first)))
+                at.append((len(s) << 32) + np.arange(len(first)))
             if h:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).astype(np.int64)) for x in (h, d, n, p)], ["h", "doc_id", "n", "p"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).astype(np.int64)) for x in (h, d, at)], ["h", "doc_id", "at"])
 
-    return sets.select("doc_id", "s").mapInArrow(run, "h bigint, doc_id bigint, n bigint, p bigint")
+    return sets.select("doc_id", "s").mapInArrow(run, "h bigint, doc_id bigint, at bigint")
 
 
 def _compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -151,71 +150,55 @@ def _compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return checkpointed(pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb").mapInArrow(run, "a bigint, b bigint, j double"))
 
 
+def _side(name: str, doc: str = "doc_id", at: str = "at") -> list:
+    """Columns of one side of a pair; ``at`` holds the size of the set above 32 bits and the position in the prefix below."""
+    return [F.col(doc).alias(name), F.shiftright(at, 32).alias(name + "n"), F.col(at).bitwiseAND(F.lit(0xFFFFFFFF)).alias(name + "p")]
+
+
 def _candidates(rows: DataFrame) -> DataFrame:
     """Pairs ``(a, b)`` of rows ``(a, an, ap, b, bn, bp)``, one for each prefix shingle they share, that may be similar."""
     need = F.ceil(F.lit(SIMILARITY / (1 + SIMILARITY)) * (F.col("an") + F.col("bn")) - 1e-9)
     # at most so many shingles can be shared: those from here on, and those before that both prefixes could hold;
     # the bound holds at every shared shingle, so no count falls short because of it
     most = F.least(F.col("an") - F.col("ap"), F.col("bn") - F.col("bp")) + F.least("ap", "bp")
-    near = (F.col("a") < F.col("b")) & (F.least("an", "bn") >= SIMILARITY * F.greatest("an", "bn") - 1e-9) & (most >= need)
+    near = (F.least("an", "bn") >= SIMILARITY * F.greatest("an", "bn") - 1e-9) & (most >= need)
     least = F.greatest(F.lit(1), F.floor(F.least("an", "bn") / 20))
-    return rows.where(near).groupBy("a", "b", least.alias("least")).agg(F.count("*").alias("k")).where("k >= least").select("a", "b")
+    pair = [F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")]
+    return rows.where(near).groupBy(*pair, least.alias("least")).agg(F.count("*").alias("k")).where("k >= least").select("a", "b")
 
 
 def similar_links(sets: DataFrame, prefix: DataFrame) -> DataFrame:
     """``(a, b)``: similar pairs that connect every text to all others it is similar to, directly or through others.
 
-    ``sets`` has ``doc_id, s``, ``prefix`` the prefix shingles ``h, doc_id, n, p`` of the texts to be compared.
+    ``sets`` has ``doc_id, s``, ``prefix`` the prefix shingles ``h, doc_id, at`` of the texts to be compared.
     """
-    one = F.struct("doc_id", "n", "p")
+    similar = F.col("j") >= SIMILARITY - 1e-9
     # most shingles of a prefix occur nowhere else; they are dropped before the join
-    shared = prefix.groupBy("h").agg(F.min(one).alias("low"), F.max(one).alias("high")).where("low.doc_id <> high.doc_id")
-    own = checkpointed(prefix.join(shared, "h"))
-    me = [F.col("doc_id").alias("b"), F.col("n").alias("bn"), F.col("p").alias("bp")]
-    to_low = own.select(F.col("low.doc_id").alias("a"), F.col("low.n").alias("an"), F.col("low.p").alias("ap"), *me)
-    to_high = own.select(F.col("doc_id").alias("a"), F.col("n").alias("an"), F.col("p").alias("ap"), F.col("high.doc_id").alias("b"), F.col("high.n").alias("bn"), F.col("high.p").alias("bp"))
-    star = _compared(checkpointed(_candidates(to_low).unionByName(_candidates(to_high)).distinct()), sets).where(F.col("j") >= SIMILARITY - 1e-9)
-    # families: a text goes to its smallest representative, unless it is one itself
-    chosen = star.groupBy("b").agg(F.min(F.struct("a", (1 - F.col("j")).alias("d"))).alias("r")).select(F.col("b").alias("doc_id"), F.col("r.a").alias("f"), F.col("r.d").alias("d"))
-    chosen = checkpointed(chosen)
-    heads = chosen.select(F.col("f").alias("doc_id")).distinct()
-    members = chosen.join(heads, "doc_id", "left_anti")
-    own = own.select("h", "doc_id", "n", "p").join(members, "doc_id", "left").select("h", "doc_id", "n", "p", F.coalesce("f", "doc_id").alias("f"))
-    own = checkpointed(own)
-    radius = members.groupBy("f").agg(F.max("d").alias("d"))
-    linked = checkpointed(components(star.select("a", "b")))
-    span = own.groupBy("h", "f").agg(F.min("n").alias("least"), F.max("n").alias("most"))
-    span = span.join(linked.select(F.col("node").alias("f"), "root"), "f", "left").select("h", "f", "least", "most", F.coalesce("root", "f").alias("root"))
-    x, y = span.alias("x"), span.alias("y")
-    meet = (F.col("x.h") == F.col("y.h")) & (F.col("x.f") < F.col("y.f")) & (F.col("x.root") != F.col("y.root"))
-    fits = (F.col("x.most") >= SIMILARITY * F.col("y.least") - 1e-9) & (F.col("y.most") >= SIMILARITY * F.col("x.least") - 1e-9)
-    apart = checkpointed(x.join(y, meet & fits).select(F.col("x.f").alias("a"), F.col("y.f").alias("b")).distinct())
-    if apart.isEmpty():
-        return star.select("a", "b")
-    between = _compared(apart, sets)
-    wide = lambda c: radius.select(F.col("f").alias(c), F.col("d").alias("d" + c))
-    reach = 1 - SIMILARITY + F.coalesce("da", F.lit(0.0)) + F.coalesce("db", F.lit(0.0)) + 1e-9
-    open_ = between.where(F.col("j") < SIMILARITY - 1e-9).join(wide("a"), "a", "left").join(wide("b"), "b", "left").where("da is not null or db is not null")
-    open_ = checkpointed(open_.where(1 - F.col("j") <= reach).select(F.col("a").alias("fa"), F.col("b").alias("fb")))
-    links = star.select("a", "b").unionByName(between.where(F.col("j") >= SIMILARITY - 1e-9).select("a", "b"))
-    if open_.isEmpty():
-        return links
-    # families that the links have brought together by now need no further look
-    roots = checkpointed(components(links))
-    root = lambda c: roots.select(F.col("node").alias(c), F.col("root").alias("r" + c))
-    open_ = open_.join(root("fa"), "fa", "left").join(root("fb"), "fb", "left").where("coalesce(rfa, fa) <> coalesce(rfb, fb)")
-    open_ = checkpointed(open_.select("fa", "fb"))
-    if open_.isEmpty():
-        return links
-    first = own.join(open_, own["f"] == open_["fa"]).select("h", "fb", F.col("doc_id").alias("u"), F.col("n").alias("un"), F.col("p").alias("up"))
-    second = own.select("h", F.col("f").alias("fb"), F.col("doc_id").alias("v"), F.col("n").alias("vn"), F.col("p").alias("vp"))
-    both = first.join(second, ["h", "fb"])
-    u, v = (F.struct(*[F.col(f"{c}{x}").alias(x or "id") for x in ("", "n", "p")]) for c in "uv")
-    first_is_less = F.col("u") < F.col("v")
-    rows = both.select(F.when(first_is_less, u).otherwise(v).alias("x"), F.when(first_is_less, v).otherwise(u).alias("y")).select(
-        F.col("x.id").alias("a"), F.col("x.n").alias("an"), F.col("x.p").alias("ap"), F.col("y.id").alias("b"), F.col("y.n").alias("bn"), F.col("y.p").alias("bp")
-    )
-    return links.unionByName(_compared(checkpointed(_candidates(rows)), sets).where(F.col("j") >= SIMILARITY - 1e-9).select("a", "b"))
+    shared = prefix.groupBy("h").agg(F.min(F.struct("doc_id", "at")).alias("low"), F.max("doc_id").alias("high")).where("low.doc_id <> high")
+    own = checkpointed(prefix.join(shared.select("h", F.col("low.doc_id").alias("low"), F.col("low.at").alias("low_at")), "h"))
+    star = _compared(checkpointed(_candidates(own.where("doc_id <> low").select(*_side("a", "low", "low_at"), *_side("b")))), sets)
+    star = star.where(similar).select("a", "b")
+    for seed in range(1, ROUNDS + 1):
+        linked = checkpointed(components(star).select(F.col("node").alias("doc_id"), "root"))
+        rows = own.select("h", "doc_id", "at").join(linked, "doc_id", "left")
+        if seed == ROUNDS:
+            break
+        rows = rows.withColumn("root", F.coalesce("root", "doc_id"))
+        other = rows.groupBy("h").agg(F.min(F.struct(F.xxhash64("doc_id", F.lit(seed)).alias("u"), "doc_id", "at", "root")).alias("r"), F.min("root").alias("x"), F.max("root").alias("y"))
+        other = other.where("x <> y").select("h", F.col("r.doc_id").alias("rep"), F.col("r.at").alias("rep_at"), F.col("r.root").alias("rep_root"))
+        more = _candidates(rows.join(other, "h").where("root <> rep_root").select(*_side("a", "rep", "rep_at"), *_side("b")))
+        star = star.unionByName(_compared(checkpointed(more), sets).where(similar).select("a", "b"))
+    own = rows
+    single, grouped = own.where("root is null").drop("root"), checkpointed(own.where("root is not null"))
+    left, right = single.select("h", *_side("a")), single.select("h", *_side("b"))
+    rows = [left.join(right, "h").where("a < b"), left.join(grouped.select("h", *_side("b")), "h")]
+    roots = grouped.select("h", "root").distinct()
+    meet = roots.join(roots.select("h", F.col("root").alias("other")), "h").where("root < other")
+    first = meet.join(grouped.select("h", "root", *_side("a")), ["h", "root"]).select("h", "other", "a", "an", "ap")
+    rows.append(first.join(grouped.select("h", F.col("root").alias("other"), *_side("b")), ["h", "other"]))
+    cols = ["a", "an", "ap", "b", "bn", "bp"]
+    met = _candidates(rows[0].select(cols)).unionByName(_candidates(rows[1].select(cols).unionByName(rows[2].select(cols))))
+    return star.unionByName(_compared(checkpointed(met), sets).where(similar).select("a", "b"))
 
 
 def duplicate_clusters(docs: DataFrame) -> DataFrame:
