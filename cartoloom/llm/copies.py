@@ -155,16 +155,28 @@ def _side(name: str, doc: str = "doc_id", at: str = "at") -> list:
     return [F.col(doc).alias(name), F.shiftright(at, 32).alias(name + "n"), F.col(at).bitwiseAND(F.lit(0xFFFFFFFF)).alias(name + "p")]
 
 
-def _candidates(rows: DataFrame) -> DataFrame:
-    """Pairs ``(a, b)`` of rows ``(a, an, ap, b, bn, bp)``, one for each prefix shingle they share, that may be similar."""
+def _best(rows: DataFrame) -> DataFrame:
+    """Of each ``b`` the representative ``a`` that it shares most prefix shingles with, at least a third of those that
+    similar texts share (they may have others with other representatives)."""
+    k = _candidates(rows, 3, counted=True)
+    return k.groupBy("b").agg(F.max_by("a", "k").alias("a")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def _candidates(rows: DataFrame, part: int = 1, counted: bool = False) -> DataFrame:
+    """Pairs ``(a, b)`` of rows ``(a, an, ap, b, bn, bp)``, one for each prefix shingle they share, that may be similar.
+
+    They share all the prefix shingles that similar texts do, or a ``part`` of them; ``counted`` keeps the order of the
+    pair and the count.
+    """
     need = F.ceil(F.lit(SIMILARITY / (1 + SIMILARITY)) * (F.col("an") + F.col("bn")) - 1e-9)
     # at most so many shingles can be shared: those from here on, and those before that both prefixes could hold;
     # the bound holds at every shared shingle, so no count falls short because of it
     most = F.least(F.col("an") - F.col("ap"), F.col("bn") - F.col("bp")) + F.least("ap", "bp")
     near = (F.least("an", "bn") >= SIMILARITY * F.greatest("an", "bn") - 1e-9) & (most >= need)
     least = F.greatest(F.lit(1), F.floor(F.least("an", "bn") / 20))
-    pair = [F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")]
-    return rows.where(near).groupBy(*pair, least.alias("least")).agg(F.count("*").alias("k")).where("k >= least").select("a", "b")
+    pair = ["a", "b"] if counted else [F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")]
+    out = rows.where(near).groupBy(*pair, least.alias("least")).agg(F.count("*").alias("k")).where(F.col("k") * part >= F.col("least"))
+    return out.select("a", "b", "k") if counted else out.select("a", "b")
 
 
 def similar_links(sets: DataFrame, prefix: DataFrame) -> DataFrame:
@@ -174,9 +186,9 @@ def similar_links(sets: DataFrame, prefix: DataFrame) -> DataFrame:
     """
     similar = F.col("j") >= SIMILARITY - 1e-9
     # most shingles of a prefix occur nowhere else; they are dropped before the join
-    shared = prefix.groupBy("h").agg(F.min(F.struct("doc_id", "at")).alias("low"), F.max("doc_id").alias("high")).where("low.doc_id <> high")
-    own = checkpointed(prefix.join(shared.select("h", F.col("low.doc_id").alias("low"), F.col("low.at").alias("low_at")), "h"))
-    star = _compared(checkpointed(_candidates(own.where("doc_id <> low").select(*_side("a", "low", "low_at"), *_side("b")))), sets)
+    shared = prefix.groupBy("h").agg(F.min("doc_id").alias("low"), F.min_by("at", "doc_id").alias("low_at"), F.max("doc_id").alias("high"))
+    own = checkpointed(prefix.join(shared.where("low <> high").drop("high"), "h"))
+    star = _compared(checkpointed(_best(own.where("doc_id <> low").select(*_side("a", "low", "low_at"), *_side("b")))), sets)
     star = star.where(similar).select("a", "b")
     for seed in range(1, ROUNDS + 1):
         linked = checkpointed(components(star).select(F.col("node").alias("doc_id"), "root"))
@@ -184,9 +196,11 @@ def similar_links(sets: DataFrame, prefix: DataFrame) -> DataFrame:
         if seed == ROUNDS:
             break
         rows = rows.withColumn("root", F.coalesce("root", "doc_id"))
-        other = rows.groupBy("h").agg(F.min(F.struct(F.xxhash64("doc_id", F.lit(seed)).alias("u"), "doc_id", "at", "root")).alias("r"), F.min("root").alias("x"), F.max("root").alias("y"))
-        other = other.where("x <> y").select("h", F.col("r.doc_id").alias("rep"), F.col("r.at").alias("rep_at"), F.col("r.root").alias("rep_root"))
-        more = _candidates(rows.join(other, "h").where("root <> rep_root").select(*_side("a", "rep", "rep_at"), *_side("b")))
+        u = F.xxhash64("doc_id", F.lit(seed))
+        other = rows.groupBy("h").agg(
+            F.min_by("doc_id", u).alias("rep"), F.min_by("at", u).alias("rep_at"), F.min_by("root", u).alias("rep_root"), F.min("root").alias("x"), F.max("root").alias("y")
+        )
+        more = _best(rows.join(other.where("x <> y"), "h").where("root <> rep_root").select(*_side("a", "rep", "rep_at"), *_side("b")))
         star = star.unionByName(_compared(checkpointed(more), sets).where(similar).select("a", "b"))
     own = rows
     single, grouped = own.where("root is null").drop("root"), checkpointed(own.where("root is not null"))

@@ -45,22 +45,34 @@ def test_empty(spark):
     assert C.duplicate_clusters(spark.createDataFrame([], "doc_id bigint, text string")).count() == 0
 
 
-def test_many_near_copies(spark, monkeypatch):
-    """Pairs that are compared stay linear in the rows when a text has many near copies, and no link is lost."""
-    r = np.random.default_rng(5)
-    words = np.array([f"v{i}" for i in range(4000)])
+def near_copies(r, words, n, edits):
     base, other = list(r.choice(words, 120)), list(r.choice(words, 120))
     rows = []
-    for i in range(400):
+    for i in range(n):
         own = (base if i % 8 else other).copy()
-        for _ in range(int(r.integers(0, 3))):
+        for _ in range(int(r.integers(0, edits + 1))):
             own[int(r.integers(0, len(own)))] = str(r.choice(words))
         rows.append((i, " ".join(own)))
-    rows += [(1000 + i, " ".join(base[:60] + list(r.choice(words, 60)))) for i in range(40)]  # share half of it
-    rows += [(2000 + i, " ".join(r.choice(words, 80))) for i in range(100)]
+    return base, rows + [(2000 + i, " ".join(r.choice(words, 80))) for i in range(100)]
+
+
+def test_many_near_copies(spark, monkeypatch):
+    """Pairs that are compared stay linear in the rows when a text has many near copies, and no link is lost."""
+    r = np.random.default_rng(5)
+    _, rows = near_copies(r, np.array([f"v{i}" for i in range(4000)]), 400, 2)
     compared = []
     inner = C._compared
     monkeypatch.setattr(C, "_compared", lambda pairs, sets: compared.append(pairs.count()) or inner(pairs, sets))
     got = C.duplicate_clusters(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)).collect()
     assert {x["doc_id"]: x["cluster"] for x in got} == brute(rows)
-    assert sum(compared) < 12 * len(rows), compared
+    assert sum(compared) < 4 * len(rows), compared
+
+
+def test_near_copies_beside_texts_that_share_half(spark):
+    """Texts that share half of a copied text are told from it, and copies at the very limit are linked."""
+    r = np.random.default_rng(6)
+    words = np.array([f"v{i}" for i in range(4000)])
+    base, rows = near_copies(r, words, 200, 5)
+    rows += [(1000 + i, " ".join(base[:60] + list(r.choice(words, 60)))) for i in range(40)]
+    got = C.duplicate_clusters(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)).collect()
+    assert {x["doc_id"]: x["cluster"] for x in got} == brute(rows)
