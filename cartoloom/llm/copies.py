@@ -6,8 +6,10 @@ similar text lacks, so the first m of the shared ones lie among the first n - ce
 candidates only if they share m = n/20 (at least one) of these prefixes, and if lengths and positions still allow the
 similarity.
 
-* Of the texts that share a prefix shingle, each is first compared with one of them, in ``ROUNDS`` rounds with another
-  one each time.  Near copies of one text are linked that way, and each text carries the root of its component.
+* Of the texts that share a prefix shingle, the one in whose prefix it stands first represents it, and each text is first
+  compared with the representative it meets most often; texts that are not linked by that are compared in the same way
+  with those that share the largest part of their prefix.  Near copies of one text are linked that way, and each text carries the root of its
+  component.
 * Then the candidates of different components are compared: texts that are not linked yet with each other and with the
   linked ones, and members of two components where the two share a prefix shingle.
 
@@ -36,7 +38,6 @@ from cartoloom.session import checkpointed
 WORDS = 5
 SIMILARITY = 0.8
 BUCKETS = 1 << 18
-ROUNDS = 2
 _WORD = re.compile(r"\w+")
 #: Ids of copies up to this number are broadcast (16 MB); more are joined by a shuffle.
 MAX_BROADCAST = 2_000_000
@@ -186,23 +187,23 @@ def similar_links(sets: DataFrame, prefix: DataFrame) -> DataFrame:
     """
     similar = F.col("j") >= SIMILARITY - 1e-9
     # most shingles of a prefix occur nowhere else; they are dropped before the join
-    shared = prefix.groupBy("h").agg(F.min("doc_id").alias("low"), F.min_by("at", "doc_id").alias("low_at"), F.max("doc_id").alias("high"))
-    own = checkpointed(prefix.join(shared.where("low <> high").drop("high"), "h"))
+    # the representative is the text in whose prefix the shingle stands first: it has least of its own
+    early = F.shiftleft(F.col("at").bitwiseAND(F.lit(0xFFFFFFFF)), 32) + F.pmod(F.xxhash64("doc_id"), F.lit(1 << 32))
+    shared = prefix.groupBy("h").agg(F.min_by("doc_id", early).alias("low"), F.min_by("at", early).alias("low_at"), F.min("doc_id").alias("x"), F.max("doc_id").alias("y"))
+    own = checkpointed(prefix.join(shared.where("x <> y").drop("x", "y"), "h"))
     star = _compared(checkpointed(_best(own.where("doc_id <> low").select(*_side("a", "low", "low_at"), *_side("b")))), sets)
     star = star.where(similar).select("a", "b")
-    for seed in range(1, ROUNDS + 1):
-        linked = checkpointed(components(star).select(F.col("node").alias("doc_id"), "root"))
-        rows = own.select("h", "doc_id", "at").join(linked, "doc_id", "left")
-        if seed == ROUNDS:
-            break
-        rows = rows.withColumn("root", F.coalesce("root", "doc_id"))
-        u = F.xxhash64("doc_id", F.lit(seed))
-        other = rows.groupBy("h").agg(
-            F.min_by("doc_id", u).alias("rep"), F.min_by("at", u).alias("rep_at"), F.min_by("root", u).alias("rep_root"), F.min("root").alias("x"), F.max("root").alias("y")
-        )
-        more = _best(rows.join(other.where("x <> y"), "h").where("root <> rep_root").select(*_side("a", "rep", "rep_at"), *_side("b")))
-        star = star.unionByName(_compared(checkpointed(more), sets).where(similar).select("a", "b"))
-    own = rows
+    # once more for the texts that are not linked: now the text that shares most of its prefix represents its shingles
+    seen = star.select(F.explode(F.array("a", "b")).alias("doc_id"), F.lit(1).alias("links")).distinct()
+    common = own.groupBy("doc_id").agg(F.count("*").alias("k"))
+    rows = own.select("h", "doc_id", "at").join(common, "doc_id").join(seen, "doc_id", "left")
+    share = F.floor(F.col("k") * 1_000_000 / F.shiftright("at", 32))
+    most = F.shiftleft(share, 32) + F.pmod(F.xxhash64("doc_id"), F.lit(1 << 32))
+    hubs = rows.groupBy("h").agg(F.max_by("doc_id", most).alias("hub"), F.max_by("at", most).alias("hub_at"))
+    late = rows.where("links is null").join(hubs, "h").where("doc_id <> hub").select(*_side("a", "hub", "hub_at"), *_side("b"))
+    star = star.unionByName(_compared(checkpointed(_best(late)), sets).where(similar).select("a", "b"))
+    linked = checkpointed(components(star).select(F.col("node").alias("doc_id"), "root"))
+    own = own.select("h", "doc_id", "at").join(linked, "doc_id", "left")
     single, grouped = own.where("root is null").drop("root"), checkpointed(own.where("root is not null"))
     left, right = single.select("h", *_side("a")), single.select("h", *_side("b"))
     rows = [left.join(right, "h").where("a < b"), left.join(grouped.select("h", *_side("b")), "h")]
