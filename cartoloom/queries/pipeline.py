@@ -123,10 +123,6 @@ def sample_stratified(spark, sf_dir):
     return D.ranked_per_stratum(rows, "country", "id", QUOTA)
 
 
-def sample_containment(spark, sf_dir):
-    return D.sample_containment(views.open_views(spark, sf_dir), QUOTA)
-
-
 def sample_relations(spark, sf_dir):
     home = table(spark, sf_dir, "divisions").where("country is not null").groupBy("id").agg(F.min("country").alias("country"))
     raw = table(spark, sf_dir, "infrastructures").where("geometry is not null").dropDuplicates(["id"])
@@ -163,9 +159,9 @@ def grown_boxes(spark, sf_dir):
 
 
 def line_positions(spark, sf_dir):
-    """Of every parking against the first line of the longest river: planar distance, fraction of the line, side."""
+    """Of every parking against its nearest line of the longest river: planar distance, fraction of the line, side."""
     v = views.open_views(spark, sf_dir)
-    lines = [s for b in S.blocks(S._lines(v, Q.long_river(spark, sf_dir)).dropDuplicates(["id"]).orderBy("id").limit(1)) for s in b]
+    lines = [s for b in S.blocks(S._lines(v, Q.long_river(spark, sf_dir)).dropDuplicates(["id"]).orderBy("id")) for s in b]
 
     @F.pandas_udf(_fields(d=T.DoubleType(), f=T.DoubleType(), side=T.IntegerType()))
     def place(x: pd.Series, y: pd.Series) -> pd.DataFrame:
@@ -297,7 +293,7 @@ QUERIES = {f"view_{n}": _view(n) for n in _NAMED} | {
     f.__name__: f
     for f in (
         newest_divisions, folded_names, name_equals, name_contains, class_profile, category_profile, countries_semi, shape_measures, distance_and_bearing,
-        format_distance, normalized_sql, sample_stratified, sample_containment, sample_relations, sample_inside, sample_places_inside, scan_in_box, grown_boxes, line_positions, compound_intersect,
+        format_distance, normalized_sql, sample_stratified, sample_relations, sample_inside, sample_places_inside, scan_in_box, grown_boxes, line_positions, compound_intersect,
         prepared_query, fenced_statements, resolve_names, pick_name, questions, accentless_variant, dedup_pairs,
         cap_per_template, split_components, split_stratified, unknown_bucket, chat_messages, eval_buckets, eval_verdict, geojson_features, intent_templates,
         windowed_events,
@@ -413,7 +409,7 @@ FROM (SELECT params.distance_m AS m, lang, regexp_replace(format('{:.1f}', param
     "scan_in_box": f"SELECT id, name, class FROM water WHERE bbox.xmax >= {BOX[0]} AND bbox.xmin <= {BOX[2]} AND bbox.ymax >= {BOX[1]} AND bbox.ymin <= {BOX[3]}",
     "grown_boxes": """SELECT id, round(bbox.xmin - g, 6) AS xmin, round(bbox.xmax + g, 6) AS xmax, round(bbox.ymin - d, 6) AS ymin, round(bbox.ymax + d, 6) AS ymax
 FROM water, LATERAL (SELECT 5000.0::DOUBLE / 111320.0::DOUBLE AS d, 5000.0::DOUBLE / 111320.0::DOUBLE / cos(radians((bbox.ymin + bbox.ymax) / 2)) AS g) k WHERE bbox IS NOT NULL""",
-    "line_positions": Q._with(Q.RIVER, Q._FEATURES, Q._LINES.replace("GROUP BY id)", "GROUP BY id ORDER BY id LIMIT 1)", 1), Q._at("pa", "greatest(n.s.f - 0.0001::DOUBLE, 0)"), Q._at("pb", "least(n.s.f + 0.0001::DOUBLE, 1)"), Q._at("pq", "n.s.f"))
+    "line_positions": Q._with(Q.RIVER, Q._FEATURES, Q._LINES, Q._at("pa", "greatest(n.s.f - 0.0001::DOUBLE, 0)"), Q._at("pb", "least(n.s.f + 0.0001::DOUBLE, 1)"), Q._at("pq", "n.s.f"))
     + """
 SELECT nl.id, round(sqrt((s.cx - s.qx) ** 2 + (s.cy - s.qy) ** 2), 8) AS d, round(s.f, 8) AS f, CAST(sign((pb.x - pa.x) * (s.cy - pq.y) - (pb.y - pa.y) * (s.cx - pq.x)) AS INT) AS side
 FROM nl JOIN pa ON pa.id = nl.id JOIN pb ON pb.id = nl.id JOIN pq ON pq.id = nl.id""",
@@ -426,6 +422,8 @@ k AS (SELECT name, lang, CASE WHEN {_LATIN('name')} THEN name END AS a, CASE WHE
 SELECT name, lang, CASE WHEN own THEN coalesce(a, b) ELSE coalesce(b, a) END AS typed FROM k""",
     "questions": _Q + " SELECT pos, template, lang, question FROM q",
     "dedup_pairs": _Q + " SELECT pos, template, question FROM dd",
+    "accentless_variant": _Q + f""" SELECT pos * 2 AS pos, lang, question FROM q
+UNION ALL SELECT pos * 2 + 1, lang, strip_accents(question) FROM q WHERE {_CHANCE('CAST(pos AS VARCHAR)', 'question')} < 0.3 AND strip_accents(question) <> question""",
     "cap_per_template": _Q + f" SELECT pos, template FROM (SELECT *, row_number() OVER (PARTITION BY template ORDER BY pos) AS n FROM dd) WHERE n <= {CAP}",
     "split_components": f"WITH RECURSIVE {_GROUPS} SELECT entity, group_entity FROM g",
     "split_stratified": f"""WITH RECURSIVE {_GROUPS}, gt AS (SELECT group_entity, min(template) AS template FROM g JOIN validated_samples v USING (entity) GROUP BY group_entity),

@@ -29,13 +29,15 @@ def local_session(cpus: int | str = "*", partitions: int = 8, memory: str = "8g"
 def checkpointed(df: DataFrame) -> DataFrame:
     """Cut the lineage of ``df`` in the folder that all executors share.
 
-    The folder is the session's ``spark.checkpoint.dir``.  Only where that setting is absent (tests, a laptop) does
-    the helper choose a temporary folder itself.
+    The folder is the session's ``spark.checkpoint.dir``.  Only a local session may leave that setting out (tests, a
+    laptop); then the helper chooses a temporary folder itself.
     """
     spark = df.sparkSession
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         chosen = spark.conf.get("spark.checkpoint.dir", "")
+        if not chosen and not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         sc.setCheckpointDir(chosen or os.path.join(tempfile.gettempdir(), f"cartoloom-{sc.applicationId}"))
     return df.checkpoint(eager=True)
 
