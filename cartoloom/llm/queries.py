@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import unicodedata
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cartoloom.llm import group_split, mixing, packing, pii, quota_sample, script_forms
-from cartoloom.session import table
+from cartoloom.session import checkpointed, table
 
 NAMED_TABLES = ("divisions", "division_areas", "water")
 SAMPLE_FIELDS = ("template", "country")
@@ -105,11 +105,57 @@ def p8_redacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.redact(docs, keep_text=False).select("doc_id", F.size("items").alias("n_items"), "redacted")
 
 
+def _none(**counts: DataFrame) -> DataFrame:
+    """One row with the number of rows of each of these tables of faults."""
+    out = None
+    for name, rows in counts.items():
+        one = rows.agg(F.count("*").alias(name))
+        out = one if out is None else out.join(one)  # one row each
+    return out
+
+
+def p4_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups in several splits, records without a split, and splits that a template with three groups or more lacks."""
+    records = table(spark, sf_dir, "validated_samples").where("sample_id is not null").select("sample_id").distinct()
+    got = checkpointed(p4_split(spark, sf_dir))
+    torn = got.where("group_entity is not null").groupBy("group_entity").agg(F.count_distinct("split_name").alias("n")).where("n > 1")
+    per = got.groupBy("template").agg(F.count_distinct("group_entity").alias("groups"), F.count_distinct("split_name").alias("splits"))
+    return _none(torn_groups=torn, lost_records=records.join(got, "sample_id", "left_anti"), bare_templates=per.where("groups >= 3 and splits < 3"))
+
+
+def p6_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Overfull containers, items that are not where the ones before them end, and documents not packed whole."""
+    packed = checkpointed(_packed(spark, sf_dir))
+    sizes = table(spark, sf_dir, "containers")
+    used = packed.groupBy("container", "container_no").agg(F.sum("tokens").alias("t")).join(F.broadcast(sizes), "container")
+    before = F.coalesce(F.sum("tokens").over(Window.partitionBy("container", "container_no").orderBy("position").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    whole = packed.groupBy("container", "doc_id", "n_pieces").agg(F.count_distinct("piece").alias("k"), F.max(F.col("token_start") + F.col("tokens")).alias("end"), F.sum("tokens").alias("t"))
+    return _none(overfull=used.where("t > capacity_tokens"), misplaced=packed.withColumn("at", before).where("at <> offset"), torn=whole.where("k <> n_pieces or end <> t"))
+
+
+def p7_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents repeated too often, and sources whose drawn tokens miss the allotted ones by more than their longest text."""
+    docs, targets = table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets")
+    drawn = checkpointed(mixing.mix(docs, targets))
+    often = drawn.join(F.broadcast(targets), "source").where("repeats > max_repeats")
+    longest = drawn.groupBy("source").agg(F.max("tokens").alias("longest"), F.sum(F.col("tokens") * F.col("repeats")).alias("drawn"))
+    missed = mixing.mix_plan(docs, targets).join(longest, "source").where("abs(drawn - allotted_tokens) > longest")
+    return _none(too_often=often, missed=missed)
+
+
+def p8_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts whose items are not where they are said to be, or whose other characters changed."""
+    rows = pii.redact(table(spark, sf_dir, "documents").select("doc_id", "text")).where("text is not null")
+    moved = F.exists("items", lambda i: F.substring(F.col("text"), i["start"] + 1, i["end"] - i["start"]) != i["found_text"])
+    grown = F.aggregate("items", F.lit(0), lambda a, i: a + F.length(i["kind"]) + 2 - (i["end"] - i["start"]))
+    return rows.select(F.count_if(moved).alias("moved"), F.count_if(F.length("redacted") != F.length("text") + grown).alias("changed"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         p2_found, p2_forms, p3_found, p3_report, p3_sample, p4_found, p4_split, p6_found, p6_pack, p6_fill, p7_found, p7_mix, p7_report,
-        p8_found, p8_redacted,
+        p8_found, p8_redacted, p4_faults, p6_faults, p7_faults, p8_faults,
     )
 }
 
@@ -151,6 +197,18 @@ ORACLES = {
   FROM (SELECT id, name FROM divisions UNION ALL SELECT id, name FROM division_areas UNION ALL SELECT id, name FROM water) WHERE id IS NOT NULL AND name IS NOT NULL)
 SELECT DISTINCT a.id AS id_a, b.id AS id_b FROM r a JOIN r b ON a.look = b.look AND a.name <> b.name AND a.id < b.id""",
     "p3_found": _REQUIRED + " SELECT field, category FROM t WHERE available < required",
+    "p3_report": _REQUIRED + """,
+r AS (SELECT field, category, target_share, min_rows, unnest(range(1, available + 1)) AS r FROM t),
+p AS (SELECT *, row_number() OVER (PARTITION BY field ORDER BY CASE WHEN r <= min_rows THEN 0 ELSE (r - 0.5::DOUBLE) / target_share END, category, r) AS n FROM r),
+s AS (SELECT field, category, count(*) AS seats FROM p WHERE n <= floor(0.25::DOUBLE * (SELECT count(*) FROM d)) GROUP BY field, category),
+w AS (SELECT field, sum(seats) AS w FROM s GROUP BY field)
+SELECT t.field, t.category, t.target_share, t.min_rows, t.available, CAST(coalesce(seats, 0) AS BIGINT) AS seats, coalesce(seats, 0)::DOUBLE / w.w::DOUBLE AS reached_share, required,
+  NOT (coalesce(seats, 0) < required AND available < required) AS met
+FROM t LEFT JOIN s ON s.field = t.field AND s.category = t.category JOIN w ON w.field = t.field""",
+    "p4_faults": "SELECT 0::BIGINT AS torn_groups, 0::BIGINT AS lost_records, 0::BIGINT AS bare_templates",
+    "p6_faults": "SELECT 0::BIGINT AS overfull, 0::BIGINT AS misplaced, 0::BIGINT AS torn",
+    "p7_faults": "SELECT 0::BIGINT AS too_often, 0::BIGINT AS missed",
+    "p8_faults": "SELECT 0::BIGINT AS moved, 0::BIGINT AS changed",
     "p4_found": r"""WITH RECURSIVE d AS (SELECT DISTINCT entity, trim(regexp_replace(sql, '\s+', ' ', 'g')) AS k FROM validated_samples),
 m AS (SELECT k, min(entity) AS a FROM d GROUP BY k HAVING count(*) > 1),
 star AS (SELECT d.entity AS b, m.a FROM d JOIN m USING (k) WHERE d.entity <> m.a),
