@@ -163,44 +163,99 @@ def band(metres: float) -> tuple[float, float]:
     return metres - t, metres + t
 
 
-def _within(features: DataFrame, areas: DataFrame) -> DataFrame:
-    def test(b: Batch, s: Shape) -> np.ndarray:
-        x0, y0, x1, y1 = s.bbox
-        rows = np.flatnonzero(b.ok & (b.box[:, 0] >= x0) & (b.box[:, 2] <= x1) & (b.box[:, 1] >= y0) & (b.box[:, 3] <= y1))
-        plain = np.asarray([i for i in rows if int(i) not in b.shapes], dtype=int)
-        inside = plain[strictly_inside(b.lon[plain], b.lat[plain], edges_of(s))] if len(plain) else plain
-        other = [i for i in rows if int(i) in b.shapes and K.within(b.shapes[int(i)], s)]
-        return np.sort(np.concatenate([inside, np.asarray(other, dtype=int)]))
-
-    return scan(features, areas, test)
+def within_rows(b: Batch, s: Shape) -> np.ndarray:
+    """Rows that lie within an area."""
+    x0, y0, x1, y1 = s.bbox
+    rows = np.flatnonzero(b.ok & (b.box[:, 0] >= x0) & (b.box[:, 2] <= x1) & (b.box[:, 1] >= y0) & (b.box[:, 3] <= y1))
+    plain = np.asarray([i for i in rows if int(i) not in b.shapes], dtype=int)
+    inside = plain[strictly_inside(b.lon[plain], b.lat[plain], edges_of(s))] if len(plain) else plain
+    other = [i for i in rows if int(i) in b.shapes and K.within(b.shapes[int(i)], s)]
+    return np.sort(np.concatenate([inside, np.asarray(other, dtype=int)]))
+
+
+def near_rows(b: Batch, s: Shape, metres: float, m: Measure) -> np.ndarray:
+    """Rows whose centroid is within a distance of the shape's point nearest to them."""
+    rows = b.meeting(s.bbox, metres, m)
+    if not len(rows):
+        return rows
+    if s.kind == "POINT":
+        qx, qy = np.full(len(rows), s.paths[0][0, 0]), np.full(len(rows), s.paths[0][0, 1])
+    else:
+        q = np.asarray([K.closest_point(s, b.shape(int(i))) for i in rows])
+        qx, qy = q[:, 0], q[:, 1]
+    return rows[m.metres(b.lon[rows], b.lat[rows], qx, qy) <= metres]
+
+
+def sector_rows(b: Batch, s: Shape, direction: str, low: float, high: float, m: Measure) -> np.ndarray:
+    """Rows in a sector as seen from the shape's centroid, between two distances."""
+    rows = b.meeting(s.bbox, high, m)
+    x, y = K.centroid(s)
+    rows = rows[in_sector(azimuth(x, y, b.lon[rows], b.lat[rows]), direction)]
+    d = m.metres(x, y, b.lon[rows], b.lat[rows])
+    return rows[(d >= low) & (d <= high)]
+
+
+def center_rows(b: Batch, s: Shape, m: Measure) -> np.ndarray:
+    """Rows in the core of an area."""
+    radius = center_radius(K.spheroid_area(s) if m.model == "spheroid" else K.sphere_area(s))
+    x, y = K.centroid(s)
+    rows = b.meeting((x, y, x, y), radius, m)
+    return rows[m.metres(b.lon[rows], b.lat[rows], x, y) <= radius]
+
+
+def periphery_rows(b: Batch, s: Shape, band_m: float, m: Measure) -> np.ndarray:
+    """Rows inside an area and near its border."""
+    border = Shape("MULTILINESTRING", s.paths, s.owners)
+    x0, y0, x1, y1 = s.bbox
+    rows = np.flatnonzero(b.ok & (b.box[:, 0] >= x0) & (b.box[:, 2] <= x1) & (b.box[:, 1] >= y0) & (b.box[:, 3] <= y1))
+    rows = np.asarray([i for i in rows if K.within(b.shape(int(i)), s)], dtype=int)
+    if not len(rows):
+        return rows
+    q = np.asarray([K.closest_point(border, b.shape(int(i))) for i in rows])
+    return rows[m.metres(b.lon[rows], b.lat[rows], q[:, 0], q[:, 1]) <= band_m]
+
+
+def border_rows(b: Batch, s: Shape, metres: float, m: Measure) -> np.ndarray:
+    """Rows near the border of an area, on either side."""
+    rows = b.meeting(s.bbox, metres, m)
+    if not len(rows):
+        return rows
+    _, qx, qy, _, _ = K.nearest(K.segments_of(s), b.lon[rows], b.lat[rows])
+    return rows[m.metres(b.lon[rows], b.lat[rows], qx, qy) <= metres]
+
+
+def line_rows(b: Batch, lines: list[Shape], metres: float, m: Measure, side: int | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows near some line, the planar distance to the nearest (the first of equals), and whether that one is within reach."""
+    segments = [K.segments_of(s) for s in lines]
+    size = len(b.lon)
+    best, at, which = np.full(size, np.inf), np.full((2, size), np.nan), np.full(size, -1)
+    for k, s in enumerate(segments):
+        rows = b.meeting(lines[k].bbox, metres, m)
+        if not len(rows):
+            continue
+        d, qx, qy, _, _ = K.nearest(s, b.lon[rows], b.lat[rows])
+        closer = d < best[rows]
+        rows = rows[closer]
+        best[rows], at[0, rows], at[1, rows], which[rows] = d[closer], qx[closer], qy[closer], k
+    rows = np.flatnonzero(which >= 0)
+    good = m.metres(b.lon[rows], b.lat[rows], at[0, rows], at[1, rows]) <= metres
+    if side is not None:
+        for j in np.flatnonzero(good):
+            i = rows[j]
+            good[j] = K.side_of(segments[which[i]], b.lon[i : i + 1], b.lat[i : i + 1])[0] == side
+    return rows, best[rows], good
 
 
-def _near(features: DataFrame, refs: DataFrame, metres: float, m: Measure) -> DataFrame:
-    """Centroid within a distance of the reference's point nearest to the feature."""
+def _within(features: DataFrame, areas: DataFrame) -> DataFrame:
+    return scan(features, areas, within_rows)
 
-    def test(b: Batch, s: Shape) -> np.ndarray:
-        rows = b.meeting(s.bbox, metres, m)
-        if not len(rows):
-            return rows
-        if s.kind == "POINT":
-            qx, qy = np.full(len(rows), s.paths[0][0, 0]), np.full(len(rows), s.paths[0][0, 1])
-        else:
-            q = np.asarray([K.closest_point(s, b.shape(int(i))) for i in rows])
-            qx, qy = q[:, 0], q[:, 1]
-        return rows[m.metres(b.lon[rows], b.lat[rows], qx, qy) <= metres]
 
-    return scan(features, refs, test)
+def _near(features: DataFrame, refs: DataFrame, metres: float, m: Measure) -> DataFrame:
+    return scan(features, refs, lambda b, s: near_rows(b, s, metres, m))
 
 
 def _sector(features: DataFrame, refs: DataFrame, direction: str, low: float, high: float, m: Measure) -> DataFrame:
-    def test(b: Batch, s: Shape) -> np.ndarray:
-        rows = b.meeting(s.bbox, high, m)
-        x, y = K.centroid(s)
-        rows = rows[in_sector(azimuth(x, y, b.lon[rows], b.lat[rows]), direction)]
-        d = m.metres(x, y, b.lon[rows], b.lat[rows])
-        return rows[(d >= low) & (d <= high)]
-
-    return scan(features, refs, test)
+    return scan(features, refs, lambda b, s: sector_rows(b, s, direction, low, high, m))
 
 
 def containment(v: dict, place: str, subtype: str, klass: str) -> DataFrame:
@@ -236,29 +291,11 @@ def _by_nearest_line(features: DataFrame, lines: DataFrame, metres: float, m: Me
     for block in blocks(lines):
 
         def run(batches: Iterator[pa.RecordBatch], block: list[Shape] = block, no: int = n) -> Iterator[pa.RecordBatch]:
-            segments = [K.segments_of(s) for s in block]
             for b in batches:
-                batch = Batch(b.column("geometry").to_pylist())
-                size = len(batch.lon)
-                best, at = np.full(size, np.inf), np.full((2, size), np.nan)
-                which = np.full(size, -1)
-                for k, s in enumerate(segments):
-                    rows = batch.meeting(block[k].bbox, metres, m)
-                    if not len(rows):
-                        continue
-                    d, qx, qy, _, _ = K.nearest(s, batch.lon[rows], batch.lat[rows])
-                    closer = d < best[rows]
-                    rows = rows[closer]
-                    best[rows], at[0, rows], at[1, rows], which[rows] = d[closer], qx[closer], qy[closer], k
-                rows = np.flatnonzero(which >= 0)
-                good = m.metres(batch.lon[rows], batch.lat[rows], at[0, rows], at[1, rows]) <= metres
-                if side is not None:
-                    for j in np.flatnonzero(good):
-                        i = rows[j]
-                        good[j] = K.side_of(segments[which[i]], batch.lon[i : i + 1], batch.lat[i : i + 1])[0] == side
+                rows, d, good = line_rows(Batch(b.column("geometry").to_pylist()), block, metres, m, side)
                 if len(rows):
                     got = b.take(pa.array(rows))
-                    yield pa.RecordBatch.from_arrays([*got.columns, pa.array(best[rows]), pa.array(np.full(len(rows), no, np.int32)), pa.array(good)], [*got.schema.names, "d", "no", "good"])
+                    yield pa.RecordBatch.from_arrays([*got.columns, pa.array(d), pa.array(np.full(len(rows), no, np.int32)), pa.array(good)], [*got.schema.names, "d", "no", "good"])
 
         part = own.mapInArrow(run, FOUND + ", d double, no int, good boolean")
         out = part if out is None else out.unionByName(part)
@@ -286,27 +323,11 @@ def center_radius(area_m2: float) -> float:
 
 
 def center(v: dict, place: str, subtype: str, klass: str, measure: Measure = Measure()) -> DataFrame:
-    def test(b: Batch, s: Shape) -> np.ndarray:
-        radius = center_radius(K.spheroid_area(s) if measure.model == "spheroid" else K.sphere_area(s))
-        x, y = K.centroid(s)
-        rows = b.meeting((x, y, x, y), radius, measure)
-        return rows[measure.metres(b.lon[rows], b.lat[rows], x, y) <= radius]
-
-    return scan(of_class(v["infrastructures"], subtype, klass), named(v["division_areas"], place), test)
+    return scan(of_class(v["infrastructures"], subtype, klass), named(v["division_areas"], place), lambda b, s: center_rows(b, s, measure))
 
 
 def periphery(v: dict, place: str, subtype: str, klass: str, band_m: float = 500.0, measure: Measure = Measure()) -> DataFrame:
-    def test(b: Batch, s: Shape) -> np.ndarray:
-        border = Shape("MULTILINESTRING", s.paths, s.owners)
-        x0, y0, x1, y1 = s.bbox
-        rows = np.flatnonzero(b.ok & (b.box[:, 0] >= x0) & (b.box[:, 2] <= x1) & (b.box[:, 1] >= y0) & (b.box[:, 3] <= y1))
-        rows = np.asarray([i for i in rows if K.within(b.shape(int(i)), s)], dtype=int)
-        if not len(rows):
-            return rows
-        q = np.asarray([K.closest_point(border, b.shape(int(i))) for i in rows])
-        return rows[measure.metres(b.lon[rows], b.lat[rows], q[:, 0], q[:, 1]) <= band_m]
-
-    return scan(of_class(v["infrastructures"], subtype, klass), named(v["division_areas"], place), test)
+    return scan(of_class(v["infrastructures"], subtype, klass), named(v["division_areas"], place), lambda b, s: periphery_rows(b, s, band_m, measure))
 
 
 def direction(v: dict, place: str, subtype: str, klass: str, direction: str, measure: Measure = Measure()) -> DataFrame:
@@ -340,14 +361,7 @@ def bordering(v: dict, place: str, distance_m: float = 20_000.0, measure: Measur
     ref = named(v["division_areas"], place).where("geometry is not null")
     ref = ref.orderBy(F.coalesce(F.col("subtype") == "country", F.lit(False)).desc(), F.coalesce("is_land", F.lit(False)).desc(), "id").limit(1)
 
-    def test(b: Batch, s: Shape) -> np.ndarray:
-        rows = b.meeting(s.bbox, distance_m, measure)
-        if not len(rows):
-            return rows
-        _, qx, qy, _, _ = K.nearest(K.segments_of(s), b.lon[rows], b.lat[rows])
-        return rows[measure.metres(b.lon[rows], b.lat[rows], qx, qy) <= distance_m]
-
-    return scan(v["divisions"].where("subtype = 'locality'"), ref, test)
+    return scan(v["divisions"].where("subtype = 'locality'"), ref, lambda b, s: border_rows(b, s, distance_m, measure))
 
 
 @F.pandas_udf(T.DoubleType())

@@ -15,10 +15,11 @@ from cartoloom.plans import dataset as D
 from cartoloom.plans import intent as I
 from cartoloom.plans import phrases as P
 from cartoloom.plans import sampling as G
+from cartoloom.plans import validated as V
 from cartoloom.queries import spatial as Q
 from cartoloom.queries.wkb_sql import paths_cte, points_cte
 from cartoloom.sources import geojson, views
-from cartoloom.session import table
+from cartoloom.session import checkpointed, table
 from cartoloom.streaming.geofence import windowed_counts
 
 CAP = 200
@@ -142,6 +143,40 @@ def sample_places_inside(spark, sf_dir):
     return G.sample_inside(v["division_areas"], p, QUOTA).where("template = 'containment'").select(F.lit("places_containment").alias("template"), "country", "place", F.col("class").alias("category"))
 
 
+def sample_water(spark, sf_dir):
+    return V.sample_water(views.open_views(spark, sf_dir), QUOTA, Q.SPHERE)
+
+
+def sample_borders(spark, sf_dir):
+    return V.sample_borders(views.open_views(spark, sf_dir), QUOTA, Q.SPHERE)
+
+
+def sample_places_near(spark, sf_dir):
+    return V.sample_places_near(views.open_views(spark, sf_dir), QUOTA, Q.SPHERE)
+
+
+def _all_samples(spark, sf_dir):
+    out = None
+    for run in (sample_relations, sample_inside, sample_places_inside, sample_water, sample_borders, sample_places_near):
+        part = V.conformed(run(spark, sf_dir))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def validated_pairs(spark, sf_dir):
+    """Statements in French and English from the samples of all relations, each run and found to have an answer."""
+    v = views.open_views(spark, sf_dir)
+    return V.validated(v, _all_samples(spark, sf_dir), Q.SPHERE).select("entity", "template", "country", "lang", "params.place", "params.feature", "sql")
+
+
+def eval_executed(spark, sf_dir):
+    """The validated statements against those that the intent parser makes of their questions, both run."""
+    v = views.open_views(spark, sf_dir)
+    own = checkpointed(V.validated(v, _all_samples(spark, sf_dir), Q.SPHERE).withColumn("sample_id", F.col("entity") * 2 + (F.col("lang") == "en").cast("int")))
+    asked = V.generated(D.questions(own).select("pos", "sql", "question")).select(F.col("pos").alias("case"), "sql", "gen_sql")
+    return V.evaluated_by_running(v, asked, Q.SPHERE).groupBy("bucket").agg(F.count("*").alias("n"))
+
+
 BOX = (-5.0, 36.0, 15.0, 50.0)
 
 
@@ -172,7 +207,7 @@ def line_positions(spark, sf_dir):
         d = np.array([K.nearest(s, x, y)[0] for s in segs]) if segs else np.zeros((0, len(x)))
         out = pd.DataFrame({"d": np.full(len(x), np.nan), "f": np.nan, "side": 0})
         if len(segs):
-            k = d.argmin(axis=0)
+            k = np.round(d, 9).argmin(axis=0)  # lines that meet are equally near: the first by id
             for j in np.unique(k):
                 m = k == j
                 out.loc[m, "f"] = K.locate(segs[j], x[m], y[m])
@@ -293,7 +328,7 @@ QUERIES = {f"view_{n}": _view(n) for n in _NAMED} | {
     f.__name__: f
     for f in (
         newest_divisions, folded_names, name_equals, name_contains, class_profile, category_profile, countries_semi, shape_measures, distance_and_bearing,
-        format_distance, normalized_sql, sample_stratified, sample_relations, sample_inside, sample_places_inside, scan_in_box, grown_boxes, line_positions, compound_intersect,
+        format_distance, normalized_sql, sample_stratified, sample_relations, sample_inside, sample_places_inside, sample_water, sample_borders, sample_places_near, validated_pairs, eval_executed, scan_in_box, grown_boxes, line_positions, compound_intersect,
         prepared_query, fenced_statements, resolve_names, pick_name, questions, accentless_variant, dedup_pairs,
         cap_per_template, split_components, split_stratified, unknown_bucket, chat_messages, eval_buckets, eval_verdict, geojson_features, intent_templates,
         windowed_events,
@@ -409,7 +444,7 @@ FROM (SELECT params.distance_m AS m, lang, regexp_replace(format('{:.1f}', param
     "scan_in_box": f"SELECT id, name, class FROM water WHERE bbox.xmax >= {BOX[0]} AND bbox.xmin <= {BOX[2]} AND bbox.ymax >= {BOX[1]} AND bbox.ymin <= {BOX[3]}",
     "grown_boxes": """SELECT id, round(bbox.xmin - g, 6) AS xmin, round(bbox.xmax + g, 6) AS xmax, round(bbox.ymin - d, 6) AS ymin, round(bbox.ymax + d, 6) AS ymax
 FROM water, LATERAL (SELECT 5000.0::DOUBLE / 111320.0::DOUBLE AS d, 5000.0::DOUBLE / 111320.0::DOUBLE / cos(radians((bbox.ymin + bbox.ymax) / 2)) AS g) k WHERE bbox IS NOT NULL""",
-    "line_positions": Q._with(Q.RIVER, Q._FEATURES, Q._LINES, Q._at("pa", "greatest(n.s.f - 0.0001::DOUBLE, 0)"), Q._at("pb", "least(n.s.f + 0.0001::DOUBLE, 1)"), Q._at("pq", "n.s.f"))
+    "line_positions": Q._with(Q.RIVER, Q._FEATURES, Q._LINES.replace("arg_min(struct_pack(lid, cx, cy, qx, qy, f, total), (cx - qx) ** 2 + (cy - qy) ** 2)", "first(struct_pack(lid, cx, cy, qx, qy, f, total) ORDER BY round(sqrt((cx - qx) ** 2 + (cy - qy) ** 2), 9), lid)"), Q._at("pa", "greatest(n.s.f - 0.0001::DOUBLE, 0)"), Q._at("pb", "least(n.s.f + 0.0001::DOUBLE, 1)"), Q._at("pq", "n.s.f"))
     + """
 SELECT nl.id, round(sqrt((s.cx - s.qx) ** 2 + (s.cy - s.qy) ** 2), 8) AS d, round(s.f, 8) AS f, CAST(sign((pb.x - pa.x) * (s.cy - pq.y) - (pb.y - pa.y) * (s.cx - pq.x)) AS INT) AS side
 FROM nl JOIN pa ON pa.id = nl.id JOIN pb ON pb.id = nl.id JOIN pq ON pq.id = nl.id""",
