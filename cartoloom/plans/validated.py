@@ -16,6 +16,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from cartoloom.functions import text as X
 from cartoloom.geo import kernels as K
@@ -195,7 +196,7 @@ def validated(v: dict, samples: DataFrame, measure: S.Measure = S.Measure(), loc
 def generated(asked: DataFrame) -> DataFrame:
     """``asked`` (``question``) with the statement ``gen_sql`` that the intent parser gives; null where no phrase fits."""
 
-    @F.pandas_udf("string")
+    @F.pandas_udf(StringType())
     def answer(question: pd.Series) -> pd.Series:
         intents = {q: parsed(q) if q else None for q in question.unique()}
         return pd.Series([None if intents[q] is None else T.written(intents[q]) for q in question], dtype=object)

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Languages of the name columns, in their order.
 LANGUAGES = "fr es it de en pt ru uk nl pl th zh ar".split()
@@ -108,3 +110,35 @@ def open_views(spark: SparkSession, root: str, latest: bool = False, register: b
 def in_box(raw: DataFrame, xmin: float, ymin: float, xmax: float, ymax: float) -> DataFrame:
     """Rows whose stored box meets the given one; the comparisons on the struct's fields are pushed to the reader."""
     return raw.where((F.col("bbox.xmax") >= xmin) & (F.col("bbox.xmin") <= xmax) & (F.col("bbox.ymax") >= ymin) & (F.col("bbox.ymin") <= ymax))
+
+
+def open_partitioned(spark: SparkSession, root: str, kind: str) -> DataFrame:
+    """One feature type of a release laid out as ``theme=<theme>/type=<type>/``; other types are not even listed."""
+    return spark.read.option("basePath", root).parquet(f"{root}/theme=*/type={kind}")
+
+
+@F.pandas_udf(T.StructType([T.StructField(c, T.DoubleType()) for c in ("xmin", "xmax", "ymin", "ymax")]))
+def box_of(g: pd.Series) -> pd.DataFrame:
+    """The box of a shape; null where there is none."""
+    from cartoloom.geo.wkb import decode
+
+    rows = []
+    for raw in g:
+        s = decode(raw)
+        x0, y0, x1, y1 = s.bbox if s is not None else (None,) * 4
+        rows.append((x0, x1, y0, y1))
+    return pd.DataFrame(rows, columns=["xmin", "xmax", "ymin", "ymax"], dtype="float64")
+
+
+def ingest(raw: DataFrame, path: str, box: tuple[float, float, float, float] | None = None, degrees: float = 5.0, mode: str = "overwrite") -> None:
+    """Write the features that meet a box (xmin, ymin, xmax, ymax; all without one), each with its own box stored.
+
+    Rows are ranged by cells of the given width, so that row groups cover small regions and later scans with ``in_box``
+    skip the others.  Features without a shape are left out.
+    """
+    own = raw if "bbox" in raw.columns else raw.withColumn("bbox", box_of("geometry"))
+    own = own.where("bbox is not null and bbox.xmin is not null")
+    if box is not None:
+        own = in_box(own, *box)
+    cell = [F.floor(F.col("bbox.ymin") / degrees), F.floor(F.col("bbox.xmin") / degrees)]
+    own.repartitionByRange(*cell).sortWithinPartitions(*cell).write.mode(mode).parquet(path)

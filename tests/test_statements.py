@@ -1,10 +1,13 @@
 import pytest
 
 from cartoloom.operators import spatial as S
+from cartoloom.plans import service
 from cartoloom.plans import statements as T
 from cartoloom.plans import validated as V
 from cartoloom.plans.intent import Intent
 from cartoloom.queries import spatial as Q
+from cartoloom.sources import jsonl
+from cartoloom.sources import views as sources
 from cartoloom.sources.views import open_views
 
 DATA = "/root/testdata/sf0.001"
@@ -80,6 +83,50 @@ def test_validated_and_evaluated(spark, views):
     assert (worst["bucket"], worst["n"]) == ("syntax_error", 2) and V.advice(out.where("bucket = 'ok_match'")).count() == 0
 
 
+def test_service(spark, views):
+    place = Q.hot_place(spark, DATA)
+    r = service.respond(views, f"parking areas in {place}", measure=Q.SPHERE)
+    assert r.feature_count == len(r.geojson["features"]) == T.run_query(views, r.sql).count() > 0 and set(r.as_dict()) == {"question", "sql", "geojson", "feature_count"}
+    assert all("geometry" not in f["properties"] and "id" in f["properties"] for f in r.geojson["features"])
+
+    def broken(question):
+        raise OSError("no model")
+
+    for ask, write, status in ((" ", None, 422), ("what is love", None, 422), ("x", lambda q: "DROP TABLE t", 422), ("x", lambda q: "SELECT 1 AS x", 422), ("x", broken, 502)):
+        with pytest.raises(service.ServiceError) as e:
+            service.respond(views, ask, write)
+        assert e.value.status == status
+    with pytest.raises(service.ServiceError):
+        service.QueryRequest("")
+    assert service.health() == {"status": "ok"}
+
+
+def test_parts_merged_in_order(spark, tmp_path):
+    rows = spark.createDataFrame([("b", 1), ("a", 2), ("c", 3)], "template string, n int")
+    jsonl.write_parts(rows, str(tmp_path / "parts"))
+    merge = lambda mode: jsonl.merge_parts(spark, str(tmp_path / "parts"), str(tmp_path / "all"), ["c", "a", "none"], mode)
+    with pytest.warns(UserWarning, match="none"):
+        assert merge("overwrite") == ["none"]
+    read = lambda: sorted(r["n"] for r in jsonl.read(spark, str(tmp_path / "all"), "n int").collect())
+    assert read() == [2, 3] and merge("cancel") == [] and read() == [2, 3]
+    with pytest.warns(UserWarning):
+        merge("merge")
+    assert read() == [2, 2, 3, 3]
+    with pytest.raises(ValueError):
+        merge("ask")
+
+
+def test_ingest_and_partitions(spark, tmp_path):
+    raw = spark.read.parquet(f"{DATA}/places.parquet")
+    box = (0.0, 40.0, 20.0, 50.0)
+    sources.ingest(raw, str(tmp_path / "theme=places" / "type=place"), box)
+    got = sources.open_partitioned(spark, str(tmp_path), "place")
+    boxed = raw.where("geometry is not null").withColumn("bbox", sources.box_of("geometry"))
+    assert got.count() == sources.in_box(boxed, *box).count() > 0 and {"theme", "type", "bbox"} <= set(got.columns)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist"):
+        sources.open_partitioned(spark, str(tmp_path), "other")
+
+
 def test_seeded_sample(spark):
     rows = spark.range(500)
     a, b = (sorted(r["id"] for r in V.seeded_sample(x, "id", 50).collect()) for x in (rows, rows.repartition(7)))
