@@ -28,6 +28,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from cartoloom.session import checkpointed
+
 #: Counters of a partition's sketch, as a multiple of 1/share: undercounting stays below a quarter of the share.
 SKETCH_FACTOR = 4
 #: A heavy key's rows are spread over one part for so many rows, so that no task holds more of one key.
@@ -89,7 +91,8 @@ def per_key_summary(
     """
     base = rows.select(_coded(key).alias("code"), F.col(id_col).cast("string").alias("id"), F.col(time_col).alias("t"), F.col(version_col).alias("v"))
     heavy = _heavy_codes(base.select("code"), share)
-    heavy = heavy.select("code", F.expr(f"cast(greatest(2, ceil(n / {ROWS_PER_PART})) as int)").alias("parts"))
+    # found once for both branches; it has at most 1/share rows
+    heavy = checkpointed(heavy.select("code", F.expr(f"cast(greatest(2, ceil(n / {ROWS_PER_PART})) as int)").alias("parts")))
     marked = base.join(F.broadcast(heavy), "code", "left")
     hot = marked.where("parts is not null").withColumn("part", F.expr("cast(pmod(xxhash64(id), parts) as int)")).drop("parts")
     cold = marked.where("parts is null").drop("parts")
